@@ -7,9 +7,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lineside import schemas as S
 from lineside.functions.times import Stamp, stamp
+from lineside.session import local_rows
 
 
 def encode(
@@ -65,7 +67,7 @@ def latest_per_key(
 def empty_target(events: DataFrame, columns: Sequence[str] = S.SOURCE_COLUMNS) -> DataFrame:
     """A destination with no rows, for the first merge."""
     fields = [f for f in S.INSPECTIONS.fields if f.name in columns or f.name in S.BOOKKEEPING]
-    return events.sparkSession.createDataFrame([], S.T.StructType(fields))
+    return local_rows(events.sparkSession, [], T.StructType(fields))
 
 
 def newest_rows(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lineside import schemas as S
 from lineside.functions.times import Stamp, seconds_between
 from lineside.operators.refresh import same
+from lineside.session import local_rows
 
 # The objects of the pipeline, in the order they are built.
 EXPECTED = (
@@ -39,8 +40,7 @@ def built_objects(frames: Mapping[tuple[str, str], DataFrame | None]) -> DataFra
 
 def pipeline_inventory(spark: SparkSession, built: DataFrame, expected: Sequence[tuple] = EXPECTED) -> DataFrame:
     """Expected objects and whether they exist; a journal is matched by the start of its name."""
-    wanted = spark.createDataFrame(
-        list(expected), "seq int, part string, schema_name string, object_name string, kind string").alias("e")
+    wanted = local_rows(spark, expected, S.fields(seq=S.INT, part=S.STRING, schema_name=S.STRING, object_name=S.STRING, kind=S.STRING)).alias("e")
     b = built.alias("b")
     by_name = (F.col("b.object_name") == F.col("e.object_name")) | (
         (F.col("e.kind") == "journal") & F.col("b.object_name").startswith(F.col("e.object_name")))
@@ -59,9 +59,9 @@ def column_contract(
 
     The NULLs of a table's contract columns are counted in one scan of the table.
     """
-    wanted = spark.createDataFrame(list(contract), "object_name string, column_name string, expected_type string")
+    wanted = local_rows(spark, contract, S.fields(object_name=S.STRING, column_name=S.STRING, expected_type=S.STRING))
     actual = [(t, f.name, S.type_family(f.dataType)) for t, frame in frames.items() for f in frame.schema]
-    found = spark.createDataFrame(actual, "object_name string, column_name string, actual_type string")
+    found = local_rows(spark, actual, S.fields(object_name=S.STRING, column_name=S.STRING, actual_type=S.STRING))
     nulls = []
     for table, frame in frames.items():
         present = [c for t, c, _ in contract if t == table and c in frame.columns]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lineside import schemas as S
+from lineside.session import local_rows
 from lineside.functions.times import Stamp, minutes, seconds_between, stamp
 
 
@@ -47,7 +48,7 @@ def kpi_latest(series: DataFrame, lines: Sequence[str] = S.LINES, low: float = 8
     """One row per line for the newest bucket of the series; a line without data still shows."""
     newest = series.agg(F.max("bucket")).scalar()
     latest = series.where(F.col("bucket") == newest).select("line", "first_pass_yield_pct", "units", "scrap_units")
-    wanted = series.sparkSession.createDataFrame([(line,) for line in lines], "line string")
+    wanted = local_rows(series.sparkSession, [(line,) for line in lines], S.fields(line=S.STRING))
     return wanted.join(latest, "line", "left").select(
         "line",
         newest.alias("bucket"),

@@ -28,7 +28,13 @@ MOST, LEAST = "MOST_SIGNIFICANT_POSITION", "LEAST_SIGNIFICANT_POSITION"
 POSITION = (MOST, LEAST)
 BOOKKEEPING = ("_inserted_at", "_updated_at", "_deleted")
 
-_STRING, _LONG, _NTZ = T.StringType(), T.LongType(), T.TimestampNTZType()
+STRING, INT, LONG, DOUBLE, BOOLEAN, NTZ = (
+    T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType(), T.TimestampNTZType())
+
+
+def fields(**types: T.DataType) -> T.StructType:
+    """A struct of nullable fields, named by the keywords."""
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
 
 
 def payload(column: str) -> str:
@@ -36,41 +42,27 @@ def payload(column: str) -> str:
 
 
 def _source_type(column: str) -> T.DataType:
-    return _NTZ if column.endswith("_TS") else _STRING
+    return NTZ if column.endswith("_TS") else STRING
 
 
-SOURCE_ROW = T.StructType([T.StructField(c, _source_type(c)) for c in SOURCE_COLUMNS])
+SOURCE_ROW = fields(**{c: _source_type(c) for c in SOURCE_COLUMNS})
 
 JOURNAL = T.StructType(
-    [T.StructField(PK, _STRING, False)]
+    [T.StructField(PK, STRING, False)]
     + [T.StructField(payload(c), _source_type(c)) for c in SOURCE_COLUMNS]
     + [
-        T.StructField(LEAST, _LONG),
-        T.StructField(MOST, _LONG),
-        T.StructField("EVENT_TYPE", _STRING, False),
-        T.StructField("SEEN_AT", _NTZ),
-        T.StructField("METADATA", _STRING),
+        T.StructField(LEAST, LONG),
+        T.StructField(MOST, LONG),
+        T.StructField("EVENT_TYPE", STRING, False),
+        T.StructField("SEEN_AT", NTZ),
+        T.StructField("METADATA", STRING),
     ]
 )
 
 INSPECTIONS = T.StructType(
-    SOURCE_ROW.fields
-    + [
-        T.StructField("_inserted_at", _NTZ),
-        T.StructField("_updated_at", _NTZ),
-        T.StructField("_deleted", T.BooleanType()),
-    ]
-)
-
-TELEMETRY = T.StructType([
-    T.StructField("STATION_ID", _STRING),
-    T.StructField("LINE", _STRING),
-    T.StructField("METRIC", _STRING),
-    T.StructField("VALUE", T.DoubleType()),
-    T.StructField("EVENT_TS", _NTZ),
-])
-
-CONTROL = T.StructType([T.StructField("MODE", _STRING), T.StructField("UPDATED_AT", _NTZ)])
+    SOURCE_ROW.fields + fields(_inserted_at=NTZ, _updated_at=NTZ, _deleted=BOOLEAN).fields)
+TELEMETRY = fields(STATION_ID=STRING, LINE=STRING, METRIC=STRING, VALUE=DOUBLE, EVENT_TS=NTZ)
+CONTROL = fields(MODE=STRING, UPDATED_AT=NTZ)
 
 # Declared grain of each derived table.
 GRAINS = {

@@ -26,8 +26,8 @@ def destination(spark: SparkSession, path: str, parts: int = 16, guard: bool = F
     ``parts`` bounds what a small batch rewrites: choose it so that a part is a few hundred MB. It is
     fixed for the life of the table.
     """
-    extra = [T.StructField("_most", T.LongType()), T.StructField("_least", T.LongType())] if guard else []
-    schema = T.StructType([*S.INSPECTIONS.fields, *extra, T.StructField("_batch", T.LongType())])
+    extra = S.fields(_most=S.LONG, _least=S.LONG).fields if guard else []
+    schema = T.StructType([*S.INSPECTIONS.fields, *extra, *S.fields(_batch=S.LONG).fields])
     return PartedTable(spark, path, schema, hash_part(S.KEY, parts=parts))
 
 

@@ -16,7 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LOG = "part string, version bigint, row_count bigint, batch bigint"
+from lineside import schemas as S
+from lineside.session import local_rows
+
+ENTRY = S.fields(part=S.STRING, version=S.LONG, row_count=S.LONG)
+LOG = T.StructType(ENTRY.fields + S.fields(batch=S.LONG).fields)
 EMPTY = -1  # version of the marker row that keeps a commit of an empty table visible
 
 
@@ -84,7 +88,7 @@ class PartedTable:
         wanted = current if parts is None else [p for p in parts if p in current]
         paths = [f"{self.path}/data/v={current[p][0]}/_part={p}" for p in sorted(wanted)]
         if not paths:
-            return self.spark.createDataFrame([], self.schema)
+            return local_rows(self.spark, [], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
     def parts_of(self, *frames: DataFrame) -> set[str]:
@@ -104,7 +108,7 @@ class PartedTable:
         (rows.select(*self.schema.names).withColumn("_part", self.part())
          .hint("rebalance", "_part")
          .write.mode("overwrite").partitionBy("_part").parquet(folder))
-        written = self.spark.read.schema(T.StructType(self.schema.fields + [T.StructField("_part", T.StringType())]))
+        written = self.spark.read.schema(T.StructType(self.schema.fields + S.fields(_part=S.STRING).fields))
         counts = {r["_part"]: r["count"] for r in written.parquet(folder).groupBy("_part").count().collect()}
         stray = set(counts) - touched
         if stray:
@@ -112,8 +116,8 @@ class PartedTable:
         now = {p: v for p, v in old.items() if p not in touched}
         now.update({p: (batch, n) for p, n in counts.items()})
         entries = [(p, v, n) for p, (v, n) in now.items()] or [("", EMPTY, 0)]
-        (self.spark.createDataFrame(entries, "part string, version bigint, row_count bigint")
-         .coalesce(1).write.mode("overwrite").parquet(f"{self.path}/log/batch={batch}"))
+        (local_rows(self.spark, entries, ENTRY).coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.path}/log/batch={batch}"))
         self._batches = [*self.batches(), batch]
         self._remember(batch, now)
         return sum(counts.values()), sum(n for p, (_, n) in old.items() if p in touched)
@@ -122,11 +126,10 @@ class PartedTable:
 class RunLog:
     """One row per table and batch: what a refresh did. A batch that runs again replaces its rows."""
 
-    SCHEMA = (
-        "batch_id bigint, name string, started_at timestamp_ntz, seconds double, action string, state string, "
-        "mode string, reason string, rows_affected bigint, rows_inserted bigint, rows_deleted bigint, "
-        "data_timestamp timestamp_ntz, merges bigint, rows_total bigint"
-    )
+    SCHEMA = S.fields(
+        batch_id=S.LONG, name=S.STRING, started_at=S.NTZ, seconds=S.DOUBLE, action=S.STRING, state=S.STRING,
+        mode=S.STRING, reason=S.STRING, rows_affected=S.LONG, rows_inserted=S.LONG, rows_deleted=S.LONG,
+        data_timestamp=S.NTZ, merges=S.LONG, rows_total=S.LONG)
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -137,7 +140,7 @@ class RunLog:
             return self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/run=*")
         except AnalysisException as e:
             if "PATH_NOT_FOUND" in (e.getCondition() or ""):
-                return self.spark.createDataFrame([], self.SCHEMA)
+                return local_rows(self.spark, [], self.SCHEMA)
             raise
 
     def totals(self, before: int) -> tuple[int, int]:
@@ -148,7 +151,6 @@ class RunLog:
         return self._totals
 
     def write(self, batch: int, entries: list[dict]) -> None:
-        names = [f.split()[0] for f in self.SCHEMA.split(", ")]
         merges, total = self.totals(batch)
         rows = []
         for e in entries:
@@ -156,7 +158,7 @@ class RunLog:
                 merges, total = merges + 1, total + e["rows_affected"]
             filled = {"batch_id": batch, "state": "SUCCEEDED", "mode": "INCREMENTAL", "reason": "",
                       "data_timestamp": e["started_at"], "merges": merges, "rows_total": total, **e}
-            rows.append(tuple(filled.get(n) for n in names))
+            rows.append(tuple(filled.get(n) for n in self.SCHEMA.names))
         self._totals = (merges, total)
-        (self.spark.createDataFrame(rows, self.SCHEMA).coalesce(1)
+        (local_rows(self.spark, rows, self.SCHEMA).coalesce(1)
          .write.mode("overwrite").parquet(f"{self.path}/run={batch}"))

@@ -12,20 +12,16 @@ from pyspark.sql.streaming import StreamingQuery
 from lineside import schemas as S
 from lineside.operators import refine
 from lineside.operators.refresh import add_parts, signed
+from lineside.session import local_rows
 from lineside.streaming.landing import DRAIN
 from lineside.streaming.merging import destination, merge_batch, utc_now
 from lineside.streaming.parts import PartedTable, RunLog, day_part
 from lineside.streaming.rollup import add_readings, health_store
 
-_GROUP = [T.StructField("LINE", T.StringType()), T.StructField("BUCKET", T.TimestampNTZType())]
-YIELD = T.StructType([
-    *_GROUP,
-    T.StructField("UNITS", T.IntegerType()),
-    T.StructField("SCRAP_UNITS", T.IntegerType()),
-    T.StructField("FIRST_PASS_YIELD_PCT", T.DecimalType(5, 2)),
-    T.StructField("AVG_BOOTH_HUMIDITY", T.DoubleType()),
-])
-DEFECTS = T.StructType([*_GROUP, T.StructField("DEFECT_CODE", T.StringType()), T.StructField("N", T.IntegerType())])
+YIELD = S.fields(
+    LINE=S.STRING, BUCKET=S.NTZ, UNITS=S.INT, SCRAP_UNITS=S.INT,
+    FIRST_PASS_YIELD_PCT=T.DecimalType(5, 2), AVG_BOOTH_HUMIDITY=S.DOUBLE)
+DEFECTS = S.fields(LINE=S.STRING, BUCKET=S.NTZ, DEFECT_CODE=S.STRING, N=S.INT)
 
 
 @dataclass
@@ -87,7 +83,7 @@ def refresh_batch(plant: Plant, events: DataFrame, telemetry: DataFrame, batch:
         entries.append(merged.entry)
         rows = signed(refine.active(merged.before), refine.active(merged.after)).persist()
     else:
-        empty = events.sparkSession.createDataFrame([], S.INSPECTIONS)
+        empty = local_rows(events.sparkSession, [], S.INSPECTIONS)
         rows = signed(refine.active(empty), refine.active(empty))
     try:
         started = utc_now()

@@ -11,25 +11,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lineside import schemas as S
 from lineside.operators import refine
 from lineside.streaming.landing import DRAIN
 from lineside.streaming.parts import PartedTable, day_part
 
-HEALTH_PARTS = T.StructType([
-    T.StructField("STATION_ID", T.StringType()),
-    T.StructField("LINE", T.StringType()),
-    T.StructField("METRIC", T.StringType()),
-    T.StructField("BUCKET", T.TimestampNTZType()),
-    T.StructField("READINGS", T.LongType()),
-    T.StructField("VALUES_N", T.LongType()),
-    T.StructField("UNITS_N", T.LongType()),
-    T.StructField("UNITS_SUM", T.LongType()),
-    T.StructField("VALUE_SUM", T.DoubleType()),
-    T.StructField("MAX_VALUE", T.DoubleType()),
-])
+HEALTH_PARTS = S.fields(
+    STATION_ID=S.STRING, LINE=S.STRING, METRIC=S.STRING, BUCKET=S.NTZ, READINGS=S.LONG, VALUES_N=S.LONG,
+    UNITS_N=S.LONG, UNITS_SUM=S.LONG, VALUE_SUM=S.DOUBLE, MAX_VALUE=S.DOUBLE)
 
 
 def health_store(spark: SparkSession, path: str, parts_per_day: int = 1) -> PartedTable:
