@@ -22,7 +22,7 @@ def percent(units: Column, scrap: Column) -> Column:
 
 def in_units(value: Column) -> Column:
     """A reading in whole millionths, or NULL where it does not fit (NaN, infinity, out of range)."""
-    return F.round(value * READING_UNIT).try_cast("bigint")
+    return F.rint(value * READING_UNIT).try_cast("bigint")
 
 
 def exact_avg(units: Column, fitting: Column, values: Column, plain_sum: Column) -> Column:

@@ -1,0 +1,32 @@
+"""Joining rows to a per-key lookup when one key may hold a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 16
+
+
+def spread_join(
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", salts: int = SALTS
+) -> DataFrame:
+    """Join ``rows`` to ``lookup`` (one row per key) on null-safe equal keys; rows keep their columns first.
+
+    Each key's rows are spread over ``salts`` tasks by a hash of the row, and the lookup, which has one row
+    per key, is repeated for every salt. An aggregate that follows starts with partial sums in those
+    tasks, so a hot key never gathers in one. The hash is of the row, not random, so that a task that is
+    run again sends its rows to the same place.
+    """
+    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    renamed = [F.col(k).alias(f"_l_{k}") for k in keys]
+    values = [c for c in lookup.columns if c not in keys]
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_l_salt")
+    repeated = lookup.select(*renamed, *values, every)
+    equal: list[Column] = [F.col(k).eqNullSafe(F.col(f"_l_{k}")) for k in keys]
+    on = reduce(lambda a, b: a & b, equal, F.col("_salt") == F.col("_l_salt"))
+    joined = spread.join(repeated, on, how)
+    return joined.select(*rows.columns, *([] if how in ("left_semi", "left_anti") else values))

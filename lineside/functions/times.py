@@ -34,10 +34,12 @@ def _epoch_minutes(ts: Column) -> Column:
 def bucket(ts: Stamp, width: int = 5) -> Column:
     """Start of the ``width``-minute slice, aligned to the epoch; a NULL time gives a NULL bucket.
 
-    ``window()`` is not used: it drops rows whose time is NULL.
+    ``window`` does whole-number arithmetic on the naive time but drops rows without one, hence the
+    stand-in for NULL. Use one bucket per select or groupBy, as for any ``window``.
     """
-    at = _epoch_minutes(stamp(ts))
-    return F.lit("1970-01-01").cast("timestamp_ntz") + minutes(at - F.pmod(at, F.lit(width)))
+    at = stamp(ts)
+    stand_in = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.when(at.isNotNull(), F.window(F.coalesce(at, stand_in), f"{width} minutes")["start"])
 
 
 def epoch_seconds(ts: Stamp) -> Column:

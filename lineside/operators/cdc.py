@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lineside import schemas as S
+from lineside.functions.skew import spread_join
 from lineside.functions.times import Stamp, stamp
 from lineside.session import local_rows
 
@@ -109,6 +110,7 @@ def apply_newest(
     columns: Sequence[str] = S.SOURCE_COLUMNS,
     guard: bool = False,
     batch: int | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Apply one event per key to a destination.
 
@@ -117,12 +119,25 @@ def apply_newest(
     of its last change (``_most``, ``_least``) and an older event is ignored. With ``batch`` it carries
     the number of the batch that last changed the row (``_batch``).
 
-    Both sides have at most one row per key, so one full outer join is safe under key skew.
+    Both sides have at most one row per key, so one full outer join is safe under key skew. A caller that
+    has counted ``newest`` and found it ``small`` gets the same rows from two broadcast joins, in which
+    the target is not shuffled.
     """
     now = stamp(as_of)
     source = newest.withColumn("_s", F.lit(True)).alias("s")
     held = target.withColumn("_t", F.lit(True)).alias("t")
-    joined = held.join(source, F.col(f"t.{key}") == F.col(f"s.PRIMARY_KEY__{key}"), "full_outer")
+    on = F.col(f"t.{key}") == F.col(f"s.PRIMARY_KEY__{key}")
+    if small:
+        found = held.join(F.broadcast(source), on, "left_semi").select(F.col(key).alias("_found"))
+        unmet = source.join(F.broadcast(found), F.col(f"s.PRIMARY_KEY__{key}") == F.col("_found"), "left_anti")
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in held.schema.fields]
+        joined = held.join(F.broadcast(source), on, "left").unionByName(unmet.select(*nulls, "s.*"))
+        names = joined.columns
+        joined = joined.select(
+            F.struct(*names[:len(nulls)]).alias("t"), F.struct(*names[len(nulls):]).alias("s"), "_t", "_s",
+            "EVENT_TYPE", S.MOST, S.LEAST)
+    else:
+        joined = held.join(source, on, "full_outer")
 
     matched = F.col("_s").isNotNull() & F.col("_t").isNotNull()
     applies = F.col("_s").isNotNull()
@@ -202,10 +217,10 @@ def settle(rows: DataFrame, op: str, order: Sequence[str]) -> DataFrame:
     inserts = rows.where(kind == S.INSERT).groupBy(S.KEY).agg(
         F.max(F.struct(at.alias("at"), base.alias("row"))).alias("_ins"))
     since = inserts.select(S.KEY, F.col("_ins.at").alias("_from"))
-    later = (rows.where(kind.isin(S.UPDATE, S.DELETE)).join(since, S.KEY, "left")
-             .where(F.col("_from").isNull() | (at > F.col("_from"))))
+    later = (spread_join(rows.where(kind.isin(S.UPDATE, S.DELETE)), since, [S.KEY])
+             .where(F.col("_from").isNull() | (at > F.col("_from"))).drop("_from"))
     voids = later.where(kind == S.DELETE).groupBy(S.KEY).agg(F.min(at).alias("_void"))
-    updates = (later.where(kind == S.UPDATE).join(voids, S.KEY, "left")
+    updates = (spread_join(later.where(kind == S.UPDATE), voids, [S.KEY])
                .where(F.col("_void").isNull() | (at < F.col("_void")))
                .groupBy(S.KEY).agg(F.max(F.struct(at.alias("at"), patch.alias("row"))).alias("_upd")))
     return inserts.join(voids, S.KEY, "full_outer").join(updates, S.KEY, "full_outer")

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lineside.functions.skew import spread_join
+
 
 def same(left: str, right: str, keys: Sequence[str]) -> Column:
     """Null-safe equality of two aliases on ``keys``."""
@@ -40,12 +42,13 @@ def refresh(
     """Replace the touched groups of ``gold`` by ``build`` over the source rows of those groups.
 
     Works for any aggregate. A group that has lost its last row disappears. Rows outside the touched
-    groups are filtered before ``build`` sees them.
+    groups are filtered before ``build`` sees them; one group may hold a large share of them.
     """
     keys = list(groups)
-    marked = source.select("*", *[c.alias(f"_g_{name}") for name, c in groups.items()]).alias("s")
-    wanted = touched.select(*[F.col(k).alias(f"_g_{k}") for k in keys]).alias("t")
-    rows = marked.join(wanted, same("s", "t", [f"_g_{k}" for k in keys]), "left_semi").select(*source.columns)
+    names = [f"_g_{k}" for k in keys]
+    marked = source.select("*", *[groups[k].alias(n) for k, n in zip(keys, names)])
+    wanted = touched.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    rows = spread_join(marked, wanted, names, "left_semi").select(*source.columns)
     kept = gold.alias("g").join(touched.alias("t"), same("g", "t", keys), "left_anti")
     return kept.unionByName(build(rows))
 

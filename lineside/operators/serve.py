@@ -86,9 +86,14 @@ def latest_row_wins(table: DataFrame, keys: Sequence[str] = (), value: str = "MO
 
 
 def insert_if_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """``existing`` plus the new rows whose key it lacks; without keys, only if it is empty."""
+    """``existing`` plus the new rows whose key it lacks; without keys, only if it is empty.
+
+    The keys of ``existing`` are cut down to those of ``new`` first: if ``new`` is small, that join
+    broadcasts it, and the large table is neither shuffled nor sent around.
+    """
     if keys:
-        return existing.unionByName(new.join(existing.select(*keys), list(keys), "left_anti"))
+        found = existing.select(*keys).join(new.select(*keys), list(keys), "left_semi").distinct()
+        return existing.unionByName(new.join(found, list(keys), "left_anti").select(*new.columns))
     found = existing.limit(1).agg(F.count("*")).scalar()
     return existing.unionByName(new.where(found == 0))
 

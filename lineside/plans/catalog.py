@@ -41,7 +41,7 @@ def query(build: Query) -> Query:
 # --- shared inputs --------------------------------------------------------------------------------
 
 # What the aggregates read of an inspection; the scan and the fold carry nothing else.
-_NARROW = ("INSPECTION_ID", "LINE", "STATUS", "DEFECT_CODE", "EVENT_TS")
+_NARROW = ("LINE", "STATUS", "DEFECT_CODE", "EVENT_TS")
 
 
 def _state(spark: SparkSession, d: str, columns=S.SOURCE_COLUMNS) -> DataFrame:
@@ -407,8 +407,9 @@ def defect_counts_day(spark: SparkSession, d: str) -> DataFrame:
 def _versions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Live rows after the first half and after the whole feed, with what the aggregates need."""
     first, second = feeds.halves(feeds.journal(spark, d))
-    held = cdc.settled(first, feeds.seen_by(first), columns=_NARROW)
-    merged = cdc.merge(held, second, feeds.seen_by(second), columns=_NARROW)
+    columns = (S.KEY, *_NARROW)
+    held = cdc.settled(first, feeds.seen_by(first), columns=columns)
+    merged = cdc.merge(held, second, feeds.seen_by(second), columns=columns)
     return refine.active(held), refine.active(merged)
 
 
@@ -636,7 +637,8 @@ def refresh_status(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _named(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return {"INSPECTIONS_ACTIVE": _live(spark, d), "STATION_HEALTH": _health(spark, d),
+    live = refine.active(_state(spark, d, (S.KEY, *_NARROW)))
+    return {"INSPECTIONS_ACTIVE": live, "STATION_HEALTH": _health(spark, d),
             "YIELD_BY_LINE_5MIN": _yield(spark, d), "DEFECT_COUNTS_5MIN": _defects(spark, d)}
 
 

@@ -16,6 +16,10 @@ from lineside.streaming.landing import DRAIN
 from lineside.streaming.parts import PartedTable, RunLog, hash_part
 
 
+# A batch with at most this many keys is broadcast to the touched parts: some tens of MB.
+BROADCAST_ROWS = 100_000
+
+
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -55,16 +59,17 @@ def merge_batch(store: PartedTable, events: DataFrame, batch: int) -> Merged | N
         rows = newest.count()
         if rows == 0:
             return None
+        small = rows <= BROADCAST_ROWS
         touched = store.parts_of(newest.select(keys.alias(S.KEY)))
         old = store.read(touched, before=batch)
         written = replaced = 0
         if not store.committed(batch):
             guard = "_most" in store.schema.names
-            merged = cdc.apply_newest(old, newest, started, guard=guard, batch=batch)
+            merged = cdc.apply_newest(old, newest, started, guard=guard, batch=batch, small=small)
             written, replaced = store.replace(merged, touched, batch)
         # The images are read from files and the batch's own input, never from the cache dropped below.
         hit = cdc.newest_rows(events).select(F.col(S.PK).alias(S.KEY))
-        before = old.join(hit, S.KEY, "left_semi").select(*store.schema.names)
+        before = old.join(F.broadcast(hit) if small else hit, S.KEY, "left_semi").select(*store.schema.names)
         after = store.read(touched).where(F.col("_batch") == batch)
         entry = {
             "name": "QUALITY_INSPECTIONS", "action": "MERGE", "started_at": started, "rows_affected": rows,
