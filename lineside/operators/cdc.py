@@ -180,6 +180,23 @@ def merge(
     return apply_newest(target, newest_rows(events, key, columns), as_of, key, columns, guard)
 
 
+def merge_into_table(newest: DataFrame, table: str, as_of: Stamp, key: str = S.KEY,
+                     columns: Sequence[str] = S.SOURCE_COLUMNS) -> None:
+    """The same merge on a catalog table whose format changes rows in place; the format prunes and commits."""
+    now, pk = stamp(as_of), F.col(f"s.PRIMARY_KEY__{key}")
+    gone = F.col("s.EVENT_TYPE") == S.DELETE
+    fresh = {c: F.col(f"s.{S.payload(c)}") for c in columns}
+    (
+        newest.alias("s").mergeInto(table, F.col(f"{table}.{key}") == pk)
+        .whenMatched(~gone).update({**fresh, "_deleted": F.lit(False), "_updated_at": now})
+        .whenMatched(gone).update({"_deleted": F.lit(True), "_updated_at": now})
+        .whenNotMatched().insert({
+            **fresh, key: F.when(gone, pk).otherwise(fresh[key]),
+            "_inserted_at": now, "_updated_at": now, "_deleted": gone})
+        .merge()
+    )
+
+
 def merge_batches(
     target: DataFrame, batches: Sequence[tuple[DataFrame, Stamp]], **options
 ) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +61,19 @@ class Plant:
         return {"yield": self.yields.read(), "defects": self.defects.read(), "stations": self.station_health()}
 
 
+def _both(first: Callable, second: Callable) -> tuple:
+    """Run two independent layers at the same time; an error in either fails the batch."""
+    with ThreadPoolExecutor(2) as pool:
+        jobs = [pool.submit(first), pool.submit(second)]
+        return jobs[0].result(), jobs[1].result()
+
+
+def _entry(name: str, started: datetime, counts: tuple[int, int]) -> dict:
+    return {
+        "name": name, "action": "INCREMENTAL", "started_at": started, "rows_inserted": counts[0],
+        "rows_deleted": counts[1], "seconds": (utc_now() - started).total_seconds()}
+
+
 def refresh_batch(plant: Plant, events: DataFrame, telemetry: DataFrame, batch: int, width: int = 5) -> None:
     """Bring every layer up to this batch, upstream first.
 
@@ -67,46 +83,46 @@ def refresh_batch(plant: Plant, events: DataFrame, telemetry: DataFrame, batch:
     """
     entries: list[dict] = []
 
-    def note(name: str, started, written: int, replaced: int) -> None:
-        entries.append({
-            "name": name, "action": "INCREMENTAL", "started_at": started, "rows_inserted": written,
-            "rows_deleted": replaced, "seconds": (utc_now() - started).total_seconds()})
-
-    started = utc_now()
-    humid, written, replaced = add_readings(plant.health, telemetry, batch, width)
-    if humid:
-        note("STATION_HEALTH", started, written, replaced)
+    def health() -> set[str]:
+        started = utc_now()
+        days, written, replaced = add_readings(plant.health, telemetry, batch, width)
+        if days:
+            entries.append(_entry("STATION_HEALTH", started, (written, replaced)))
+        return days
 
-    merged = merge_batch(plant.inspections, events, batch)
-    touched: set[str] = set(humid)
+    humid, merged = _both(health, lambda: merge_batch(plant.inspections, events, batch))
     if merged:
         entries.append(merged.entry)
         rows = signed(refine.active(merged.before), refine.active(merged.after)).persist()
     else:
-        empty = local_rows(events.sparkSession, [], S.INSPECTIONS)
-        rows = signed(refine.active(empty), refine.active(empty))
+        empty = refine.active(local_rows(events.sparkSession, [], S.INSPECTIONS))
+        rows = signed(empty, empty)
     try:
-        started = utc_now()
-        change = refine.defect_parts(rows, width)
-        days = plant.defects.parts_of(change)
-        touched |= days
-        if days and not plant.defects.committed(batch):
-            held = plant.defects.read(days, before=batch)
-            counts = refine.defect_table(add_parts(held, change, refine.DEFECT_KEYS, ["N"], "N"))
-            note("DEFECT_COUNTS_5MIN", started, *plant.defects.replace(counts, days, batch))
-
-        started = utc_now()
-        if touched and not plant.yields.committed(batch):
-            held = plant.yields.read(touched, before=batch)
-            parts = add_parts(
-                held, refine.yield_parts(rows, width), refine.YIELD_KEYS, ["UNITS", "SCRAP_UNITS"], "UNITS")
-            health = refine.health_table(plant.health.read(touched))
-            note("YIELD_BY_LINE_5MIN", started,
-                 *plant.yields.replace(refine.yield_table(parts, health), touched, batch))
+        counts = refine.defect_parts(rows, width)
+        days = plant.defects.parts_of(counts)
+
+        def defects() -> None:
+            started = utc_now()
+            if days and not plant.defects.committed(batch):
+                held = plant.defects.read(days, before=batch)
+                table = refine.defect_table(add_parts(held, counts, refine.DEFECT_KEYS, ["N"], "N"))
+                entries.append(_entry("DEFECT_COUNTS_5MIN", started, plant.defects.replace(table, days, batch)))
+
+        def yields() -> None:
+            started = utc_now()
+            touched = days | humid
+            if touched and not plant.yields.committed(batch):
+                held = plant.yields.read(touched, before=batch)
+                parts = add_parts(
+                    held, refine.yield_parts(rows, width), refine.YIELD_KEYS, ["UNITS", "SCRAP_UNITS"], "UNITS")
+                table = refine.yield_table(parts, refine.health_table(plant.health.read(touched)))
+                entries.append(_entry("YIELD_BY_LINE_5MIN", started, plant.yields.replace(table, touched, batch)))
+
+        _both(defects, yields)
     finally:
         rows.unpersist()
     if entries:
-        plant.log.write(batch, entries)
+        plant.log.write(batch, sorted(entries, key=lambda e: e["started_at"]))
 
 
 def tagged(journal: DataFrame, telemetry: DataFrame) -> DataFrame:
