@@ -8,9 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from lineside import schemas as S
 from lineside.functions import bucket, exact_avg, percent
@@ -30,10 +29,11 @@ def active(destination: DataFrame) -> DataFrame:
 
 # --- station health -------------------------------------------------------------------------------
 
-def health_parts(telemetry: DataFrame, width: int = 5) -> DataFrame:
-    """Additive parts of the telemetry rollup."""
+def health_parts(telemetry: DataFrame, width: int = 5, slices: Column | None = None) -> DataFrame:
+    """Additive parts of the telemetry rollup, by bucket or by given time slices."""
     value, units = F.col("VALUE"), in_units(F.col("VALUE"))
-    return telemetry.groupBy("STATION_ID", "LINE", "METRIC", bucket("EVENT_TS", width).alias("BUCKET")).agg(
+    slices = bucket("EVENT_TS", width) if slices is None else slices
+    return telemetry.groupBy("STATION_ID", "LINE", "METRIC", slices.alias("BUCKET")).agg(
         F.count("*").alias("READINGS"),
         F.count(value).alias("VALUES_N"),
         F.count(units).alias("UNITS_N"),

@@ -376,9 +376,9 @@ def station_health_stream(spark: SparkSession, d: str) -> DataFrame:
 def station_health_stateful(spark: SparkSession, d: str) -> DataFrame:
     """The same rollup by a stateful aggregation in update mode."""
     def start(rows: DataFrame, base: str) -> StreamingQuery:
-        readings = rollup.with_late_limit(feeds.telemetry_of(rows), "EVENT_TS", None)
         store = rollup.health_store(spark, f"{base}/health")
-        return rollup.upsert_stream(refine.health_parts(readings), store, refine.HEALTH_KEYS, f"{base}/checkpoint")
+        updates = rollup.health_updates(feeds.telemetry_of(rows))
+        return rollup.upsert_stream(updates, store, refine.HEALTH_KEYS, f"{base}/checkpoint")
 
     base = _replay(spark, d, "health-state", start, steps=2)
     return refine.health_table(rollup.health_store(spark, f"{base}/health").read())

@@ -48,9 +48,18 @@ def health_stream(
             .option("checkpointLocation", checkpoint).queryName("health").trigger(**trigger).start())
 
 
-def with_late_limit(rows: DataFrame, at: str, limit: str | None) -> DataFrame:
-    """Optional watermark. Off, late rows restate their bucket; on, rows later than ``limit`` are lost."""
-    return rows if limit is None else rows.withWatermark(at, limit)
+def health_updates(telemetry: DataFrame, width: int = 5, late_limit: str | None = None) -> DataFrame:
+    """The rollup as a stateful aggregation.
+
+    Without a limit late rows restate their bucket and the state keeps every group. With one, state older
+    than the limit is dropped, and so are rows that come later than that or have no time. A watermark
+    wants an instant, so the time is read in the session zone, which must be UTC, and back again.
+    """
+    if late_limit is None:
+        return refine.health_parts(telemetry, width)
+    limited = telemetry.withColumn("EVENT_TS", F.col("EVENT_TS").cast("timestamp")).withWatermark("EVENT_TS", late_limit)
+    parts = refine.health_parts(limited, width, F.window("EVENT_TS", f"{width} minutes"))
+    return parts.withColumn("BUCKET", F.col("BUCKET.start").cast("timestamp_ntz"))
 
 
 def upsert(store: PartedTable, rows: DataFrame, keys: Sequence[str], batch: int) -> None:
