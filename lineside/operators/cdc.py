@@ -29,16 +29,14 @@ def encode(
 
     The primary key is the old key; a delete carries no payload.
     """
-    filled = F.col(op) != S.DELETE
-    token = F.to_json(F.struct(F.col(least).cast("string").alias("offset_token")))
-    return rows.select(
-        F.col(old_key or key).alias(f"PRIMARY_KEY__{key}"),
-        *[F.when(filled, F.col(c)).alias(S.payload(c)) for c in columns],
-        F.col(least).cast("bigint").alias(S.LEAST),
-        F.col(most).cast("bigint").alias(S.MOST),
-        F.col(op).alias("EVENT_TYPE"),
-        stamp(seen_at).alias("SEEN_AT"),
-        token.alias("METADATA"),
+    return rows.withColumn("SEEN_AT", stamp(seen_at)).selectExpr(
+        f"{old_key or key} AS PRIMARY_KEY__{key}",
+        *[f"CASE WHEN {op} <> '{S.DELETE}' THEN {c} END AS {S.payload(c)}" for c in columns],
+        f"CAST({least} AS BIGINT) AS {S.LEAST}",
+        f"CAST({most} AS BIGINT) AS {S.MOST}",
+        f"{op} AS EVENT_TYPE",
+        "SEEN_AT",
+        f"to_json(named_struct('offset_token', CAST({least} AS STRING))) AS METADATA",
     )
 
 
@@ -79,16 +77,15 @@ def newest_rows(
     return latest_per_key(events, f"PRIMARY_KEY__{key}", columns=carried)
 
 
-def _inserted(source: DataFrame, as_of: Column, key: str, columns: Sequence[str], guard: bool) -> DataFrame:
+def _inserted(source: DataFrame, as_of: Column, key: str, columns: Sequence[str]) -> DataFrame:
     """Source rows that met no target row: all become rows, a delete one that has only its key."""
-    gone = F.col("EVENT_TYPE") == S.DELETE
-    own_key = F.when(gone, F.col(f"PRIMARY_KEY__{key}")).otherwise(F.col(S.payload(key)))
-    return source.select(
-        *[(own_key if c == key else F.col(S.payload(c))).alias(c) for c in columns],
-        as_of.alias("_inserted_at"),
-        as_of.alias("_updated_at"),
-        gone.alias("_deleted"),
-        *([F.col(S.MOST).alias("_most"), F.col(S.LEAST).alias("_least")] if guard else []),
+    gone, pk = f"EVENT_TYPE = '{S.DELETE}'", f"PRIMARY_KEY__{key}"
+    own_key = f"CASE WHEN {gone} THEN {pk} ELSE {S.payload(key)} END"
+    return source.withColumn("_now", as_of).selectExpr(
+        *[f"{own_key if c == key else S.payload(c)} AS {c}" for c in columns],
+        "_now AS _inserted_at",
+        "_now AS _updated_at",
+        f"{gone} AS _deleted",
     )
 
 
@@ -99,7 +96,7 @@ def settled(
     columns: Sequence[str] = S.SOURCE_COLUMNS,
 ) -> DataFrame:
     """State after one merge of ``events`` into an empty destination, without the join."""
-    return _inserted(newest_rows(events, key, columns), stamp(as_of), key, columns, guard=False)
+    return _inserted(newest_rows(events, key, columns), stamp(as_of), key, columns)
 
 
 def apply_newest(
@@ -109,7 +106,7 @@ def apply_newest(
     key: str = S.KEY,
     columns: Sequence[str] = S.SOURCE_COLUMNS,
     guard: bool = False,
-    batch: int | None = None,
+    batch: int | Column | None = None,
     small: bool = False,
 ) -> DataFrame:
     """Apply one event per key to a destination.
@@ -123,48 +120,40 @@ def apply_newest(
     has counted ``newest`` and found it ``small`` gets the same rows from two broadcast joins, in which
     the target is not shuffled.
     """
-    now = stamp(as_of)
-    source = newest.withColumn("_s", F.lit(True)).alias("s")
-    held = target.withColumn("_t", F.lit(True)).alias("t")
-    on = F.col(f"t.{key}") == F.col(f"s.PRIMARY_KEY__{key}")
+    stamps = {"_s": F.lit(True), "_now": stamp(as_of), **({} if batch is None else {"_no": F.lit(batch)})}
+    source = newest.withColumns(stamps)
+    held = target.withColumn("_t", F.lit(True))
+    pk = f"PRIMARY_KEY__{key}"
+    on = F.col(key) == F.col(pk)
     if small:
-        found = held.join(F.broadcast(source), on, "left_semi").select(F.col(key).alias("_found"))
-        unmet = source.join(F.broadcast(found), F.col(f"s.PRIMARY_KEY__{key}") == F.col("_found"), "left_anti")
-        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in held.schema.fields]
-        joined = held.join(F.broadcast(source), on, "left").unionByName(unmet.select(*nulls, "s.*"))
-        names = joined.columns
-        joined = joined.select(
-            F.struct(*names[:len(nulls)]).alias("t"), F.struct(*names[len(nulls):]).alias("s"), "_t", "_s",
-            "EVENT_TYPE", S.MOST, S.LEAST)
+        joined = held.join(F.broadcast(source), on, "left")
+        found = target.join(F.broadcast(newest.select(pk)), on, "left_semi").select(F.col(key).alias("_found"))
+        unmet = source.join(F.broadcast(found), F.col(pk) == F.col("_found"), "left_anti")
+        nulls = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in held.schema.fields]
+        joined = joined.unionByName(unmet.selectExpr(*nulls, "*"))
     else:
         joined = held.join(source, on, "full_outer")
 
-    matched = F.col("_s").isNotNull() & F.col("_t").isNotNull()
-    applies = F.col("_s").isNotNull()
+    applies = "_s IS NOT NULL"
     if guard:
-        held_at = F.struct(F.col("t._most").alias(S.MOST), F.col("t._least").alias(S.LEAST))
-        applies = applies & (F.col("_t").isNull() | (F.struct(S.MOST, S.LEAST) > held_at))
-    gone = F.col("EVENT_TYPE") == S.DELETE
+        applies += (f" AND (_t IS NULL OR named_struct('m', {S.MOST}, 'l', {S.LEAST})"
+                    " > named_struct('m', _most, 'l', _least))")
+    gone = f"EVENT_TYPE = '{S.DELETE}'"
 
-    def column(c: str) -> Column:
-        fresh = F.col(f"s.{S.payload(c)}")
-        if c == key:
-            fresh = F.when(gone, F.col(f"s.PRIMARY_KEY__{key}")).otherwise(fresh)
-        overwritten = applies & ~(matched & gone)
-        return F.when(overwritten, fresh).otherwise(F.col(f"t.{c}")).alias(c)
-
-    def kept(value: Column, name: str) -> Column:
-        return F.when(applies, value).otherwise(F.col(f"t.{name}")).alias(name)
-
-    extra = [kept(F.col(S.MOST), "_most"), kept(F.col(S.LEAST), "_least")] if guard else []
-    if batch is not None:
-        extra.append(kept(F.lit(batch).cast("bigint"), "_batch"))
-    return joined.select(
+    def column(c: str) -> str:
+        fresh = f"CASE WHEN {gone} THEN {pk} ELSE {S.payload(c)} END" if c == key else S.payload(c)
+        return f"CASE WHEN {applies} AND NOT (_t IS NOT NULL AND {gone}) THEN {fresh} ELSE {c} END AS {c}"
+
+    def kept(value: str, name: str) -> str:
+        return f"CASE WHEN {applies} THEN {value} ELSE {name} END AS {name}"
+
+    return joined.selectExpr(
         *[column(c) for c in columns],
-        F.when(F.col("_t").isNull(), now).otherwise(F.col("t._inserted_at")).alias("_inserted_at"),
-        kept(now, "_updated_at"),
+        "CASE WHEN _t IS NULL THEN _now ELSE _inserted_at END AS _inserted_at",
+        kept("_now", "_updated_at"),
         kept(gone, "_deleted"),
-        *extra,
+        *([kept(S.MOST, "_most"), kept(S.LEAST, "_least")] if guard else []),
+        *([kept("CAST(_no AS BIGINT)", "_batch")] if batch is not None else []),
     )
 
 

@@ -16,20 +16,29 @@ def same(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
 
-def changed_rows(before: DataFrame, after: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Before- and after-images of the rows that differ between two versions of a table."""
-    columns = before.columns
-    old = before.select(key, F.struct(*columns).alias("_old"))
-    new = after.select(key, F.struct(*columns).alias("_new"))
-    diff = old.join(new, key, "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
-    images = [diff.where(F.col(side).isNotNull()).select(f"{side}.*") for side in ("_old", "_new")]
-    return images[0], images[1]
+def signed(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Before-images counted against (``_sign`` -1), after-images counted for (1)."""
+    return before.withColumn("_sign", F.lit(-1)).unionByName(after.withColumn("_sign", F.lit(1)))
+
+
+def changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Signed before- and after-images of the rows that differ between two versions of a table.
+
+    The versions meet once and both images come out of the same pass.
+    """
+    def side(frame: DataFrame, sign: int, name: str) -> DataFrame:
+        return frame.select(key, F.struct(*old.columns, F.lit(sign).alias("_sign")).alias(name))
 
+    both = side(old, -1, "_old").join(side(new, 1, "_new"), key, "full_outer")
+    same_row = [F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in old.columns if c != key]
+    unchanged = reduce(lambda a, b: a & b, same_row, F.col("_old").isNotNull() & F.col("_new").isNotNull())
+    images = F.explode(F.array_compact(F.array("_old", "_new"))).alias("_image")
+    return both.where(~unchanged).select(images).select("_image.*")
 
-def changed_groups(before: DataFrame, after: DataFrame, groups: dict[str, Column]) -> DataFrame:
-    """Groups that a change touches: those the rows left and those they entered."""
-    named = [c.alias(name) for name, c in groups.items()]
-    return before.select(*named).unionByName(after.select(*named)).distinct()
+
+def changed_groups(changed: DataFrame, groups: dict[str, Column]) -> DataFrame:
+    """Groups that changed rows left or entered."""
+    return changed.select(*[c.alias(name) for name, c in groups.items()]).distinct()
 
 
 def refresh(
@@ -53,11 +62,6 @@ def refresh(
     return kept.unionByName(build(rows))
 
 
-def signed(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Before-images counted against, after-images counted for."""
-    return before.withColumn("_sign", F.lit(-1)).unionByName(after.withColumn("_sign", F.lit(1)))
-
-
 def add_parts(held: DataFrame, change: DataFrame, keys: Sequence[str], sums: Sequence[str], alive: str) -> DataFrame:
     """Add signed changes to held counts and drop the groups that reach zero in ``alive``.
 

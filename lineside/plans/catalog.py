@@ -66,8 +66,9 @@ def _defects(spark: SparkSession, d: str, width: int = 5) -> DataFrame:
 
 
 def _frames(spark: SparkSession, d: str, width: int = 5) -> dict[str, DataFrame]:
-    return {"yield": _yield(spark, d, width), "defects": _defects(spark, d, width),
-            "stations": _health(spark, d, width)}
+    live, health = _live(spark, d), _health(spark, d, width)
+    return {"yield": refine.yield_by_line(live, health, width), "defects": refine.defect_counts(live, width),
+            "stations": health}
 
 
 def _now(spark: SparkSession, d: str) -> Column:
@@ -417,9 +418,8 @@ def _versions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 def incremental_refresh(spark: SparkSession, d: str) -> DataFrame:
     """Yield of the first half, brought up to date by recomputing the changed groups only."""
     old, new = _versions(spark, d)
-    before, after = refresh.changed_rows(old, new, S.KEY)
     groups = {"LINE": F.col("LINE"), "BUCKET": bucket("EVENT_TS", HOUR)}
-    touched = refresh.changed_groups(before, after, groups)
+    touched = refresh.changed_groups(refresh.changes(old, new, S.KEY), groups)
     health = _health(spark, d, HOUR)
     gold = refine.yield_by_line(old, health, HOUR)
     return refresh.refresh(gold, new, touched, groups, lambda rows: refine.yield_by_line(rows, health, HOUR))
@@ -429,7 +429,7 @@ def incremental_refresh(spark: SparkSession, d: str) -> DataFrame:
 def incremental_refresh_delta(spark: SparkSession, d: str) -> DataFrame:
     """Defect counts of the first half plus the signed images of the changed rows."""
     old, new = _versions(spark, d)
-    rows = refresh.signed(*refresh.changed_rows(old, new, S.KEY))
+    rows = refresh.changes(old, new, S.KEY)
     held = refine.defect_parts(old, HOUR)
     return refine.defect_table(
         refresh.add_parts(held, refine.defect_parts(rows, HOUR), refine.DEFECT_KEYS, ["N"], "N"))
@@ -550,7 +550,7 @@ def q1_yield_by_line(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q2_defect_drivers(spark: SparkSession, d: str) -> DataFrame:
-    return metrics.defect_drivers_question({"yield": _yield(spark, d), "defects": _defects(spark, d)})
+    return metrics.defect_drivers_question(_frames(spark, d))
 
 
 @query
@@ -582,7 +582,8 @@ def defect_share(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def cause_order(spark: SparkSession, d: str) -> DataFrame:
-    return analyst.cause_order(_yield(spark, d, HOUR), _defects(spark, d, HOUR))
+    frames = _frames(spark, d, HOUR)
+    return analyst.cause_order(frames["yield"], frames["defects"])
 
 
 @query
@@ -637,9 +638,9 @@ def refresh_status(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _named(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    live = refine.active(_state(spark, d, (S.KEY, *_NARROW)))
-    return {"INSPECTIONS_ACTIVE": live, "STATION_HEALTH": _health(spark, d),
-            "YIELD_BY_LINE_5MIN": _yield(spark, d), "DEFECT_COUNTS_5MIN": _defects(spark, d)}
+    live, health = refine.active(_state(spark, d, (S.KEY, *_NARROW))), _health(spark, d)
+    return {"INSPECTIONS_ACTIVE": live, "STATION_HEALTH": health,
+            "YIELD_BY_LINE_5MIN": refine.yield_by_line(live, health), "DEFECT_COUNTS_5MIN": refine.defect_counts(live)}
 
 
 @query

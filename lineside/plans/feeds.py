@@ -5,6 +5,8 @@ Every function is a projection, so that it serves a batch read and a stream read
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,12 +33,14 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
-def _pick(index: Column, values: tuple[str, ...]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _choose(index: str, values: Sequence[str]) -> str:
+    """SQL for the value at an index."""
+    return f"element_at(array({', '.join(repr(v) for v in values)}), CAST({index} AS INT) + 1)"
 
 
-def _text(*parts: str | Column) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+def _by_line(line: str, values: Mapping[str, str]) -> str:
+    """SQL for the value that belongs to a line."""
+    return f"CASE {line} {' '.join(f'WHEN {name!r} THEN {value}' for name, value in values.items())} END"
 
 
 def inspections(source: DataFrame, rekey: bool = False) -> DataFrame:
@@ -44,35 +48,31 @@ def inspections(source: DataFrame, rekey: bool = False) -> DataFrame:
 
     With ``rekey`` every fiftieth view event gives its row a new key.
     """
-    eid, uid = F.col("event_id"), F.col("user_id")
-    key = _text("S-", uid * 8 + eid % 8)
-    moved = (F.col("event_type") == "view") & (eid % 50 == 0)
-    new_key = F.when(moved, F.concat(key, F.lit("-r"), eid.cast("string"))).otherwise(key) if rekey else key
-    line = _pick(uid % 3, S.LINES)
-    failed = F.col("value") >= 100
-    code = F.coalesce(*[F.when(line == name, _pick(eid % 2, codes)) for name, codes in DEFECTS.items()])
-    station = F.coalesce(*[F.when(line == name, F.lit(f"{p}-01")) for name, p in STATION_PREFIX.items()])
-    most = (eid - eid % 10 + 10) * 1000
-    op = (
-        F.when(F.col("event_type") == "error", S.DELETE)
-        .when(F.col("event_type").isin("signup", "purchase"), S.INSERT)
-        .when(F.col("event_type").isin("view", "click"), S.UPDATE)
+    moved = "event_type = 'view' AND event_id % 50 = 0" if rekey else "false"
+    codes = {line: _choose("event_id % 2", pair) for line, pair in DEFECTS.items()}
+    stations = {line: f"'{prefix}-01'" for line, prefix in STATION_PREFIX.items()}
+    placed = source.selectExpr(
+        "*",
+        "concat('S-', user_id * 8 + event_id % 8) AS OLD_ID",
+        f"{_choose('user_id % 3', S.LINES)} AS LINE",
+        "(event_id - event_id % 10 + 10) * 1000 AS MOST",
     )
-    return source.select(
-        key.alias("OLD_ID"),
-        new_key.alias("INSPECTION_ID"),
-        _text("F-", eid).alias("UNIT_ID"),
-        line.alias("LINE"),
-        _pick(eid % 4, SKUS).alias("SKU"),
-        F.when(failed, "FAIL").otherwise("PASS").alias("STATUS"),
-        F.when(failed, code).alias("DEFECT_CODE"),
-        station.alias("STATION_ID"),
-        F.concat(F.lit("OP-"), F.lpad((eid % 12 + 1).cast("string"), 2, "0")).alias("OPERATOR_ID"),
-        F.col("ts").alias("EVENT_TS"),
-        F.col("ts").alias("UPDATED_TS"),
-        op.alias("OP"),
-        most.alias("MOST"),
-        (most + eid % 10 + 1).alias("LEAST"),
+    return placed.selectExpr(
+        "OLD_ID",
+        f"CASE WHEN {moved} THEN concat(OLD_ID, '-r', event_id) ELSE OLD_ID END AS INSPECTION_ID",
+        "concat('F-', event_id) AS UNIT_ID",
+        "LINE",
+        f"{_choose('event_id % 4', SKUS)} AS SKU",
+        "CASE WHEN value >= 100 THEN 'FAIL' ELSE 'PASS' END AS STATUS",
+        f"CASE WHEN value >= 100 THEN {_by_line('LINE', codes)} END AS DEFECT_CODE",
+        f"{_by_line('LINE', stations)} AS STATION_ID",
+        "concat('OP-', lpad(CAST(event_id % 12 + 1 AS STRING), 2, '0')) AS OPERATOR_ID",
+        "ts AS EVENT_TS",
+        "ts AS UPDATED_TS",
+        f"CASE WHEN event_type = 'error' THEN '{S.DELETE}' WHEN event_type IN ('signup', 'purchase') THEN "
+        f"'{S.INSERT}' WHEN event_type IN ('view', 'click') THEN '{S.UPDATE}' END AS OP",
+        "MOST",
+        "MOST + event_id % 10 + 1 AS LEAST",
     )
 
 
@@ -81,15 +81,14 @@ def journal_of(source: DataFrame, rekey: bool = False) -> DataFrame:
 
 
 def telemetry_of(source: DataFrame) -> DataFrame:
-    eid = F.col("event_id")
-    line = _pick(eid % 4, ("WELD", "PAINT", "PAINT", "ASSEMBLY"))
-    prefix = F.coalesce(*[F.when(line == name, F.lit(p)) for name, p in STATION_PREFIX.items()])
-    return source.select(
-        F.concat(prefix, F.lit("-0"), (F.col("user_id") % 2 + 1).cast("string")).alias("STATION_ID"),
-        line.alias("LINE"),
-        _pick(eid % 4, S.METRICS).alias("METRIC"),
-        F.col("value").alias("VALUE"),
-        F.col("ts").alias("EVENT_TS"),
+    line = _choose("event_id % 4", ("WELD", "PAINT", "PAINT", "ASSEMBLY"))
+    prefixes = {name: f"'{prefix}'" for name, prefix in STATION_PREFIX.items()}
+    return source.selectExpr("*", f"{line} AS LINE").selectExpr(
+        f"concat({_by_line('LINE', prefixes)}, '-0', user_id % 2 + 1) AS STATION_ID",
+        "LINE",
+        f"{_choose('event_id % 4', S.METRICS)} AS METRIC",
+        "value AS VALUE",
+        "ts AS EVENT_TS",
     )
 
 
@@ -129,7 +128,7 @@ def statement_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def refresh_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A refresh log of four tables with some failures."""
     return events(spark, sf_dir).select(
-        _pick(F.col("user_id") % 4, tuple(S.GRAINS)).alias("name"),
+        F.expr(_choose("user_id % 4", tuple(S.GRAINS))).alias("name"),
         F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCEEDED").alias("state"),
         F.col("ts").alias("data_timestamp"),
     )

@@ -20,6 +20,8 @@ def build_session(app: str = "lineside", master: str | None = None, **conf: str)
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # No call site per column expression: that costs more than the planning itself.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

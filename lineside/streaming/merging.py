@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lineside import schemas as S
+from lineside.functions.times import stamp
 from lineside.operators import cdc
 from lineside.streaming.landing import DRAIN
 from lineside.streaming.parts import PartedTable, RunLog, hash_part
@@ -43,6 +44,11 @@ class Merged:
     after: DataFrame
     rows: int
     entry: dict
+    newest: DataFrame
+
+    def release(self) -> None:
+        """Drop the cached batch once the images are no longer needed."""
+        self.newest.unpersist()
 
 
 def merge_batch(store: PartedTable, events: DataFrame, batch: int) -> Merged | None:
@@ -52,33 +58,44 @@ def merge_batch(store: PartedTable, events: DataFrame, batch: int) -> Merged | N
     that later layers can catch up.
     """
     started = utc_now()
-    newest = cdc.newest_rows(events).persist()
+    # Time and number travel as columns: as literals they would give every batch code of its own to compile.
+    newest = cdc.newest_rows(events).withColumns({"_now": stamp(started), "_no": F.lit(batch)}).persist()
     try:
-        # Parts of the old keys and of the new ones, since an update may move a row.
-        keys = F.explode(F.array_distinct(F.array(F.col(S.PK), F.coalesce(S.payload(S.KEY), S.PK))))
-        rows = newest.count()
+        rows, touched = _touched(store, newest)
         if rows == 0:
+            newest.unpersist()
             return None
         small = rows <= BROADCAST_ROWS
-        touched = store.parts_of(newest.select(keys.alias(S.KEY)))
         old = store.read(touched, before=batch)
         written = replaced = 0
         if not store.committed(batch):
-            guard = "_most" in store.schema.names
-            merged = cdc.apply_newest(old, newest, started, guard=guard, batch=batch, small=small)
+            merged = cdc.apply_newest(
+                old, newest, F.col("_now"), guard="_most" in store.schema.names, batch=F.col("_no"), small=small)
             written, replaced = store.replace(merged, touched, batch)
-        # The images are read from files and the batch's own input, never from the cache dropped below.
-        hit = cdc.newest_rows(events).select(F.col(S.PK).alias(S.KEY))
+        hit = newest.select(F.col(S.PK).alias(S.KEY))
         before = old.join(F.broadcast(hit) if small else hit, S.KEY, "left_semi").select(*store.schema.names)
         after = store.read(touched).where(F.col("_batch") == batch)
-        entry = {
-            "name": "QUALITY_INSPECTIONS", "action": "MERGE", "started_at": started, "rows_affected": rows,
-            "rows_inserted": written - replaced, "rows_deleted": 0,
-            "seconds": (utc_now() - started).total_seconds(),
-        }
-        return Merged(before, after, rows, entry)
-    finally:
+    except BaseException:
         newest.unpersist()
+        raise
+    entry = {
+        "name": "QUALITY_INSPECTIONS", "action": "MERGE", "started_at": started, "rows_affected": rows,
+        "rows_inserted": written - replaced, "rows_deleted": 0,
+        "seconds": (utc_now() - started).total_seconds(),
+    }
+    return Merged(before, after, rows, entry, newest)
+
+
+def _touched(store: PartedTable, newest: DataFrame) -> tuple[int, list[str]]:
+    """Number of changed keys, and the parts of their old and new keys, since an update may move a row.
+
+    One row per part comes back: at most as many as the table has parts.
+    """
+    keys = F.posexplode(F.array_distinct(F.array(F.col(S.PK), F.coalesce(S.payload(S.KEY), S.PK))))
+    per_part = (
+        newest.select(keys.alias("_place", S.KEY)).groupBy(store.part().alias("part"))
+        .agg(F.count_if(F.col("_place") == 0).alias("keys")).collect())
+    return sum(r["keys"] for r in per_part), [r["part"] for r in per_part]
 
 
 def merge_stream(
@@ -87,8 +104,10 @@ def merge_stream(
     """Merge what arrived since the last gate; an empty gate is skipped and leaves no log row."""
     def apply(events: DataFrame, batch_id: int) -> None:
         merged = merge_batch(store, events, batch_id)
-        if merged and log:
-            log.write(batch_id, [merged.entry])
+        if merged:
+            merged.release()
+            if log:
+                log.write(batch_id, [merged.entry])
 
     return (journal.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .queryName("merge").trigger(**trigger).start())

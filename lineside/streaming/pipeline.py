@@ -121,6 +121,8 @@ def refresh_batch(plant: Plant, events: DataFrame, telemetry: DataFrame, batch:
         _both(defects, yields)
     finally:
         rows.unpersist()
+        if merged:
+            merged.release()
     if entries:
         plant.log.write(batch, sorted(entries, key=lambda e: e["started_at"]))
 

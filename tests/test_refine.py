@@ -132,12 +132,11 @@ def test_refresh_by_changed_group_handles_moved_and_vanished_groups(live, readin
         return refine.yield_by_line(rows, health)
 
     groups = {"LINE": F.col("LINE"), "BUCKET": bucket("EVENT_TS")}
-    before, after = refresh.changed_rows(old, new, S.KEY)
-    touched = refresh.changed_groups(before, after, groups)
+    rows = refresh.changes(old, new, S.KEY)
+    touched = refresh.changed_groups(rows, groups)
     gold = refresh.refresh(build(old), new, touched, groups, build)
     assert as_set(gold) == as_set(build(new))
     assert touched.count() == 4  # paint 12:00 and 12:05, weld 12:00 and weld without a time
-    rows = refresh.signed(before, after)
     parts = refresh.add_parts(refine.yield_parts(old), refine.yield_parts(rows), refine.YIELD_KEYS,
                               ["UNITS", "SCRAP_UNITS"], "UNITS")
     assert as_set(refine.yield_table(parts, health)) == as_set(build(new))
