@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineside.functions import percent
+from lineside.functions import percent, steady_avg
 
 
 @dataclass(frozen=True)
@@ -98,10 +98,10 @@ PLANT = MetricView(
             "yield", lambda: percent(F.sum("UNITS"), F.sum("SCRAP_UNITS")),
             ("average yield", "yield percent", "first pass yield percent")),
         "avg_humidity": Metric(
-            "yield", lambda: F.avg("AVG_BOOTH_HUMIDITY"), ("humidity", "average booth humidity")),
+            "yield", lambda: steady_avg(F.col("AVG_BOOTH_HUMIDITY")), ("humidity", "average booth humidity")),
         "defect_count": Metric("defects", lambda: F.sum("N"), ("defect count", "number of defects")),
         "avg_reading": Metric(
-            "stations", lambda: F.avg("AVG_VALUE"), ("average reading", "average sensor value")),
+            "stations", lambda: steady_avg(F.col("AVG_VALUE")), ("average reading", "average sensor value")),
         "peak_reading": Metric("stations", lambda: F.max("MAX_VALUE"), ("peak reading", "max sensor value")),
     },
 )

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lineside import schemas as S
-from lineside.functions import bucket
+from lineside.functions import bucket, steady_avg
 from lineside.functions.times import minutes
 from lineside.operators import analyst, cdc, checks, metrics, refine, refresh, serve
 from lineside.operators import journal as inspect
@@ -82,11 +82,6 @@ def _two_merges(spark: SparkSession, d: str, rekey: bool = False) -> tuple[DataF
     return held, cdc.merge(held, second, feeds.seen_by(second))
 
 
-def _rounded(frame: DataFrame, *columns: str) -> DataFrame:
-    """Averages of doubles to six decimals: their last bits depend on the order of the sum."""
-    return frame.withColumns({c: F.round(c, 6) for c in columns})
-
-
 def _replay(
     spark: SparkSession, d: str, name: str, start: Callable[[DataFrame, str], StreamingQuery], steps: int = STEPS
 ) -> str:
@@ -514,22 +509,21 @@ def gold_lag(spark: SparkSession, d: str) -> DataFrame:
 @query
 def metric_query(spark: SparkSession, d: str) -> DataFrame:
     """Metrics of three tables by two hub dimensions, named by their synonyms."""
-    return _rounded(metrics.metric_query(
+    return metrics.metric_query(
         metrics.PLANT, _frames(spark, d, HOUR), ["production line", "when"],
         ["volume", "number of defects", "average sensor value", "peak reading"],
-        where={"stage": lambda c: c != "WELD"}), "avg_reading")
+        where={"stage": lambda c: c != "WELD"})
 
 
 @query
 def metrics_all(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(metrics.metric_query(
-        metrics.PLANT, _frames(spark, d), ["line"], list(metrics.PLANT.metrics)), "avg_humidity", "avg_reading")
+    return metrics.metric_query(metrics.PLANT, _frames(spark, d), ["line"], list(metrics.PLANT.metrics))
 
 
 @query
 def metrics_by_station(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(metrics.metric_query(
-        metrics.PLANT, _frames(spark, d), ["machine", "sensor"], ["average reading", "peak reading"]), "avg_reading")
+    return metrics.metric_query(
+        metrics.PLANT, _frames(spark, d), ["machine", "sensor"], ["average reading", "peak reading"])
 
 
 @query
@@ -539,7 +533,7 @@ def weighted_yield(spark: SparkSession, d: str) -> DataFrame:
     weighted = metrics.metric_query(
         metrics.PLANT, {"yield": gold}, ["line"], ["avg_yield_pct", "total_units", "total_scrap"])
     naive = gold.groupBy(F.col("LINE").alias("line")).agg(
-        F.round(F.avg(F.col("FIRST_PASS_YIELD_PCT").cast("double")), 6).alias("mean_of_pct"))
+        steady_avg(F.col("FIRST_PASS_YIELD_PCT").cast("double")).alias("mean_of_pct"))
     return weighted.join(naive, "line")
 
 
@@ -555,7 +549,7 @@ def q2_defect_drivers(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q3_yield_vs_humidity(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(metrics.yield_humidity_question({"yield": _yield(spark, d)}), "avg_humidity")
+    return metrics.yield_humidity_question({"yield": _yield(spark, d)})
 
 
 # --- analyst questions ----------------------------------------------------------------------------

@@ -26,6 +26,11 @@ def _bucket(ts: str, width: int) -> str:
     return f"time_bucket(INTERVAL '{width} minutes', {ts}, TIMESTAMP '1970-01-01')"
 
 
+def _steady(x: str) -> str:
+    """Average in whole millionths, halves to even."""
+    return f"CAST(sum(CAST(round_even({x} * 1000000, 0) AS BIGINT)) AS DOUBLE) / 1000000 / count({x})"
+
+
 def _journal(rekey: bool = False) -> str:
     moved = "event_type = 'view' AND event_id % 50 = 0"
     new_id = f"CASE WHEN {moved} THEN concat(old_id, '-r', event_id) ELSE old_id END" if rekey else "old_id"
@@ -455,9 +460,9 @@ UNION ALL SELECT bucket, 'booth_humidity', avg_booth_humidity FROM series WHERE
 SELECT max({_seconds('data_ts', _NOW)}) AS lag_secs FROM (
   SELECT user_id % 4 AS name, max(ts) AS data_ts FROM events
   WHERE event_type <> 'error' AND user_id % 4 IN (2, 3) GROUP BY 1)""",
-    "metric_query": _gold("""
+    "metric_query": _gold(f"""
 SELECT line, bucket, max(total_units) AS total_units, max(defect_count) AS defect_count,
-  round(max(avg_reading), 6) AS avg_reading, max(peak_reading) AS peak_reading
+  max(avg_reading) AS avg_reading, max(peak_reading) AS peak_reading
 FROM (
   SELECT LINE AS line, BUCKET AS bucket, CAST(sum(UNITS) AS BIGINT) AS total_units, NULL AS defect_count,
     NULL AS avg_reading, NULL AS peak_reading FROM yields WHERE LINE <> 'WELD' GROUP BY 1, 2
@@ -465,28 +470,28 @@ FROM (
   SELECT y.LINE, y.BUCKET, NULL, CAST(sum(N) AS BIGINT), NULL, NULL
   FROM defects x LEFT JOIN yields y ON y.LINE = x.LINE AND y.BUCKET = x.BUCKET WHERE y.LINE <> 'WELD' GROUP BY 1, 2
   UNION ALL
-  SELECT y.LINE, y.BUCKET, NULL, NULL, avg(AVG_VALUE), max(MAX_VALUE)
+  SELECT y.LINE, y.BUCKET, NULL, NULL, {_steady('AVG_VALUE')}, max(MAX_VALUE)
   FROM health x LEFT JOIN yields y ON y.LINE = x.LINE AND y.BUCKET = x.BUCKET WHERE y.LINE <> 'WELD' GROUP BY 1, 2)
 GROUP BY 1, 2""", HOUR),
     "metrics_all": _gold(f"""
 SELECT line, max(total_units) AS total_units, max(total_scrap) AS total_scrap, max(avg_yield_pct) AS avg_yield_pct,
-  round(max(avg_humidity), 6) AS avg_humidity, max(defect_count) AS defect_count,
-  round(max(avg_reading), 6) AS avg_reading, max(peak_reading) AS peak_reading
+  max(avg_humidity) AS avg_humidity, max(defect_count) AS defect_count,
+  max(avg_reading) AS avg_reading, max(peak_reading) AS peak_reading
 FROM (
-  SELECT LINE AS line, {_SUMS}, {_WEIGHTED}, avg(AVG_BOOTH_HUMIDITY) AS avg_humidity, NULL AS defect_count,
+  SELECT LINE AS line, {_SUMS}, {_WEIGHTED}, {_steady('AVG_BOOTH_HUMIDITY')} AS avg_humidity, NULL AS defect_count,
     NULL AS avg_reading, NULL AS peak_reading FROM yields GROUP BY 1
   UNION ALL
   SELECT y.LINE, NULL, NULL, NULL, NULL, CAST(sum(N) AS BIGINT), NULL, NULL
   FROM defects x LEFT JOIN yields y ON y.LINE = x.LINE AND y.BUCKET = x.BUCKET GROUP BY 1
   UNION ALL
-  SELECT y.LINE, NULL, NULL, NULL, NULL, NULL, avg(AVG_VALUE), max(MAX_VALUE)
+  SELECT y.LINE, NULL, NULL, NULL, NULL, NULL, {_steady('AVG_VALUE')}, max(MAX_VALUE)
   FROM health x LEFT JOIN yields y ON y.LINE = x.LINE AND y.BUCKET = x.BUCKET GROUP BY 1)
 GROUP BY 1"""),
-    "metrics_by_station": _readings("""
-SELECT STATION_ID AS station_id, METRIC AS metric, round(avg(AVG_VALUE), 6) AS avg_reading,
+    "metrics_by_station": _readings(f"""
+SELECT STATION_ID AS station_id, METRIC AS metric, {_steady('AVG_VALUE')} AS avg_reading,
   max(MAX_VALUE) AS peak_reading FROM health GROUP BY 1, 2"""),
     "weighted_yield": _gold(f"""
-SELECT LINE AS line, {_WEIGHTED}, {_SUMS}, round(avg(CAST(FIRST_PASS_YIELD_PCT AS DOUBLE)), 6) AS mean_of_pct
+SELECT LINE AS line, {_WEIGHTED}, {_SUMS}, {_steady('CAST(FIRST_PASS_YIELD_PCT AS DOUBLE)')} AS mean_of_pct
 FROM yields GROUP BY 1""", HOUR),
     "q1_yield_by_line": _gold(f"SELECT LINE AS line, {_WEIGHTED}, {_SUMS} FROM yields GROUP BY 1 ORDER BY 1"),
     "q2_defect_drivers": _gold("""
@@ -494,7 +499,7 @@ SELECT x.DEFECT_CODE AS defect_code, CAST(sum(x.N) AS BIGINT) AS defect_count
 FROM defects x LEFT JOIN yields y ON y.LINE = x.LINE AND y.BUCKET = x.BUCKET
 WHERE y.LINE = 'PAINT' AND x.DEFECT_CODE <> 'NONE' GROUP BY 1"""),
     "q3_yield_vs_humidity": _gold(f"""
-SELECT LINE AS line, BUCKET AS bucket, {_WEIGHTED}, round(avg(AVG_BOOTH_HUMIDITY), 6) AS avg_humidity
+SELECT LINE AS line, BUCKET AS bucket, {_WEIGHTED}, {_steady('AVG_BOOTH_HUMIDITY')} AS avg_humidity
 FROM yields WHERE LINE = 'PAINT' GROUP BY 1, 2 ORDER BY 2 DESC LIMIT 6"""),
     # analyst questions
     "latest_buckets": _gold("SELECT * FROM recent", more=_COMPLETE.format(width=5, now=_NOW)),

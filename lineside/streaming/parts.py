@@ -122,6 +122,44 @@ class PartedTable:
         self._remember(batch, now)
         return sum(counts.values()), sum(n for p, (_, n) in old.items() if p in touched)
 
+    def expire(self, keep: int = 2) -> int:
+        """Drop what only older commits refer to, and leftovers of batches that died; returns folders dropped.
+
+        ``keep`` of two or more leaves the before-image of the newest batch. Old commits go first, so that
+        no reader finds a commit whose folders are gone.
+        """
+        if keep < 2:
+            raise ValueError("keep at least two commits: the newest one and its before-image")
+        kept = self.batches()[-keep:]
+        if not kept:
+            return 0
+        rows = self._log().where(F.col("batch").isin(kept)).select("version", "part").distinct().collect()
+        wanted = {(r.version, r.part) for r in rows}
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+        def folders(path: str, prefix: str) -> list[str]:
+            names = [f.getPath().getName() for f in fs.listStatus(jvm.org.apache.hadoop.fs.Path(path))]
+            return [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+
+        def drop(path: str) -> None:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+
+        for batch in folders(f"{self.path}/log", "batch="):
+            if int(batch) < kept[0]:
+                drop(f"{self.path}/log/batch={batch}")
+        self._batches = kept
+        dropped = 0
+        for version in folders(f"{self.path}/data", "v="):
+            if int(version) > kept[-1]:
+                continue
+            for part in folders(f"{self.path}/data/v={version}", "_part="):
+                if (int(version), part) not in wanted:
+                    drop(f"{self.path}/data/v={version}/_part={part}")
+                    dropped += 1
+        return dropped
+
 
 class RunLog:
     """One row per table and batch: what a refresh did. A batch that runs again replaces its rows."""

@@ -56,6 +56,10 @@ class Plant:
     def station_health(self) -> DataFrame:
         return refine.health_table(self.health.read())
 
+    def expire(self, keep: int = 2) -> int:
+        """Drop old versions of every stored table."""
+        return sum(t.expire(keep) for t in (self.inspections, self.health, self.yields, self.defects))
+
     def frames(self) -> dict[str, DataFrame]:
         """The three tables of the metric layer."""
         return {"yield": self.yields.read(), "defects": self.defects.read(), "stations": self.station_health()}

@@ -138,6 +138,20 @@ def test_a_group_that_loses_its_last_row_leaves_the_gold_tables(spark, base, jou
     assert again.inspections.read().where("_deleted").count() == 2
 
 
+def test_expire_drops_old_versions_and_keeps_the_before_image(spark, base, journal, frame):
+    plant = pipeline.Plant.at(spark, f"{base}/plant", parts=2)
+    for n in range(4):
+        pipeline.refresh_batch(plant, journal(("a", S.INSERT, n, 1, {}), (f"k{n}", S.INSERT, n, 2, {})),
+                               frame(S.TELEMETRY), n)
+    now, before = as_set(plant.inspections.read()), as_set(plant.inspections.read(before=3))
+    assert plant.expire() > 0 and plant.expire() == 0
+    again = pipeline.Plant.at(spark, f"{base}/plant", parts=2)
+    assert as_set(again.inspections.read()) == now and as_set(again.inspections.read(before=3)) == before
+    assert again.inspections.batches() == [2, 3]
+    pipeline.refresh_batch(again, journal(("a", S.DELETE, 9, 1, {})), frame(S.TELEMETRY), 4)
+    assert again.yields.read().first().UNITS == 4
+
+
 def test_late_humidity_restates_a_closed_bucket(spark, base, journal, frame):
     plant = pipeline.Plant.at(spark, f"{base}/plant", parts=2)
     reading = {"STATION_ID": "s", "LINE": "PAINT", "METRIC": S.HUMIDITY, "EVENT_TS": NOON}
