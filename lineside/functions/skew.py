@@ -12,16 +12,22 @@ SALTS = 8
 
 
 def spread_join(
-    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", salts: int = SALTS
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    spread_by: Sequence[str] | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``rows`` to ``lookup`` (one row per key) on null-safe equal keys; rows keep their columns first.
 
     Each key's rows are spread over ``salts`` tasks by a hash of the row, and the lookup, which has one row
     per key, is repeated for every salt. An aggregate that follows starts with partial sums in those
     tasks, so a hot key never gathers in one. The hash is of the row, not random, so that a task that is
-    run again sends its rows to the same place.
+    run again sends its rows to the same place. ``spread_by`` names columns that tell rows apart; hashing
+    them alone leaves the scan free to skip the others.
     """
-    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(salts)).cast("int"))
     renamed = [F.col(k).alias(f"_l_{k}") for k in keys]
     values = [c for c in lookup.columns if c not in keys]
     every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_l_salt")

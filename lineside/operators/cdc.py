@@ -223,10 +223,10 @@ def settle(rows: DataFrame, op: str, order: Sequence[str]) -> DataFrame:
     inserts = rows.where(kind == S.INSERT).groupBy(S.KEY).agg(
         F.max(F.struct(at.alias("at"), base.alias("row"))).alias("_ins"))
     since = inserts.select(S.KEY, F.col("_ins.at").alias("_from"))
-    later = (spread_join(rows.where(kind.isin(S.UPDATE, S.DELETE)), since, [S.KEY])
+    later = (spread_join(rows.where(kind.isin(S.UPDATE, S.DELETE)), since, [S.KEY], spread_by=order)
              .where(F.col("_from").isNull() | (at > F.col("_from"))).drop("_from"))
     voids = later.where(kind == S.DELETE).groupBy(S.KEY).agg(F.min(at).alias("_void"))
-    updates = (spread_join(later.where(kind == S.UPDATE), voids, [S.KEY])
+    updates = (spread_join(later.where(kind == S.UPDATE), voids, [S.KEY], spread_by=order)
                .where(F.col("_void").isNull() | (at < F.col("_void")))
                .groupBy(S.KEY).agg(F.max(F.struct(at.alias("at"), patch.alias("row"))).alias("_upd")))
     return inserts.join(voids, S.KEY, "full_outer").join(updates, S.KEY, "full_outer")

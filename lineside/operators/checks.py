@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from lineside import schemas as S
 from lineside.functions.times import Stamp, seconds_between
@@ -205,3 +206,12 @@ def refresh_status(log: DataFrame) -> DataFrame:
         F.nullif(F.col("_n.reason"), F.lit("")).alias("downgrade_reason"),
         "refreshes",
     ).orderBy("name")
+
+
+def stream_progress(query: StreamingQuery) -> DataFrame:
+    """What the query itself reports of its last batches: the engine keeps at most a hundred."""
+    rows = [
+        (p.batchId, p.name, p.timestamp, p.numInputRows, p.durationMs.get("triggerExecution")) for p in query.recentProgress]
+    schema = S.fields(batch_id=S.LONG, name=S.STRING, started_at=S.STRING, rows_read=S.LONG, elapsed_ms=S.LONG)
+    return local_rows(SparkSession.active(), rows, schema).withColumn(
+        "started_at", F.to_timestamp_ntz("started_at", F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")))

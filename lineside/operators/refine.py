@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineside import schemas as S
@@ -133,11 +133,9 @@ def top_value(
 ) -> DataFrame:
     """The most frequent value of each group, read from counts; ties go to the smaller value.
 
-    The counts refresh by changed group, which a ``mode`` over the rows would not.
+    The counts refresh by changed group, which a ``mode`` over the rows would not. The smallest
+    (minus count, value) is a partial aggregate, so no group is gathered to be ranked.
     """
     rows = counts if exclude is None else counts.where(F.col(value) != exclude)
-    order = Window.partitionBy(*group).orderBy(F.desc(n), F.asc(value))
-    return (
-        rows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") == 1)
-        .select(*group, F.col(value).alias(f"TOP_{value}"), n)
-    )
+    first = F.min(F.struct((-F.col(n)).alias("_n"), F.col(value).alias("_v"), F.col(n).alias(n))).alias("_first")
+    return rows.groupBy(*group).agg(first).select(*group, F.col("_first._v").alias(f"TOP_{value}"), f"_first.{n}")

@@ -41,7 +41,8 @@ def query(build: Query) -> Query:
 # --- shared inputs --------------------------------------------------------------------------------
 
 # What the aggregates read of an inspection; the scan and the fold carry nothing else.
-_NARROW = ("LINE", "STATUS", "DEFECT_CODE", "EVENT_TS")
+_YIELD = ("LINE", "STATUS", "EVENT_TS")
+_NARROW = (*_YIELD, "DEFECT_CODE")
 
 
 def _state(spark: SparkSession, d: str, columns=S.SOURCE_COLUMNS) -> DataFrame:
@@ -49,8 +50,8 @@ def _state(spark: SparkSession, d: str, columns=S.SOURCE_COLUMNS) -> DataFrame:
     return cdc.settled(feed, feeds.seen_by(feed), columns=columns)
 
 
-def _live(spark: SparkSession, d: str) -> DataFrame:
-    return refine.active(_state(spark, d, _NARROW))
+def _live(spark: SparkSession, d: str, columns=_NARROW) -> DataFrame:
+    return refine.active(_state(spark, d, columns))
 
 
 def _health(spark: SparkSession, d: str, width: int = 5) -> DataFrame:
@@ -58,7 +59,7 @@ def _health(spark: SparkSession, d: str, width: int = 5) -> DataFrame:
 
 
 def _yield(spark: SparkSession, d: str, width: int = 5) -> DataFrame:
-    return refine.yield_by_line(_live(spark, d), _health(spark, d, width), width)
+    return refine.yield_by_line(_live(spark, d, _YIELD), _health(spark, d, width), width)
 
 
 def _defects(spark: SparkSession, d: str, width: int = 5) -> DataFrame:
@@ -417,7 +418,8 @@ def incremental_refresh(spark: SparkSession, d: str) -> DataFrame:
     touched = refresh.changed_groups(refresh.changes(old, new, S.KEY), groups)
     health = _health(spark, d, HOUR)
     gold = refine.yield_by_line(old, health, HOUR)
-    return refresh.refresh(gold, new, touched, groups, lambda rows: refine.yield_by_line(rows, health, HOUR))
+    return refresh.refresh(gold, new, touched, groups, lambda rows: refine.yield_by_line(rows, health, HOUR),
+                           spread_by=[S.KEY])
 
 
 @query

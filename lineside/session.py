@@ -30,6 +30,20 @@ def build_session(app: str = "lineside", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def sized_for(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings that keep scan and shuffle partitions at about ``partition_bytes`` for an input.
+
+    Shuffles start out fine-grained and adaptive execution joins small partitions, so an estimate that is
+    too high costs little; one that is too low spills.
+    """
+    partitions = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 

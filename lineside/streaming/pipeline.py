@@ -148,13 +148,24 @@ def _nullable(schema: T.StructType) -> T.StructType:
 
 
 def pipeline_stream(
-    journal: DataFrame, telemetry: DataFrame, plant: Plant, checkpoint: str, width: int = 5, trigger: dict = DRAIN
+    journal: DataFrame,
+    telemetry: DataFrame,
+    plant: Plant,
+    checkpoint: str,
+    width: int = 5,
+    trigger: dict = DRAIN,
+    keep: int | None = None,
 ) -> StreamingQuery:
-    """Run the pipeline over two streams; ``trigger=gate(60)`` gives a target lag of a minute."""
+    """Run the pipeline over two streams; ``trigger=gate(60)`` gives a target lag of a minute.
+
+    With ``keep`` each batch also drops the versions that only commits before the newest ``keep`` need.
+    """
     def refresh(batch: DataFrame, batch_id: int) -> None:
         events = batch.where(F.col("feed") == "journal").select("journal.*")
         readings = batch.where(F.col("feed") == "telemetry").select("telemetry.*")
         refresh_batch(plant, events, readings, batch_id, width)
+        if keep:
+            plant.expire(keep)
 
     return (tagged(journal, telemetry).writeStream.foreachBatch(refresh)
             .option("checkpointLocation", checkpoint).queryName("pipeline").trigger(**trigger).start())

@@ -7,7 +7,7 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from lineside import schemas as S
-from lineside.operators import cdc, refine, serve
+from lineside.operators import cdc, refine, refresh, serve
 from lineside.plans import feeds
 from lineside.plans.catalog import QUERIES
 from lineside.sources import tables
@@ -79,6 +79,34 @@ def test_top_k_needs_no_global_sort(spark, published):
     assert "TakeOrderedAndProject" in plan(serve.recent_yield(gold))
 
 
+def test_small_merge_does_not_shuffle_the_target(spark, published):
+    target = spark.read.schema(S.INSPECTIONS).parquet(f"{published}/journal")
+    newest = cdc.newest_rows(tables.read_journal(spark, f"{published}/journal"))
+    text = plan(cdc.apply_newest(target, newest, F.lit(None).cast("timestamp_ntz"), small=True))
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 3
+    # The only shuffles are those of the fold itself.
+    keys = re.findall(r"Exchange hashpartitioning\(([A-Za-z_]+)#", text)
+    assert keys and set(keys) == {S.PK}
+
+
+def test_merge_and_refresh_read_only_what_they_need(spark, published):
+    live = refine.active(cdc.settled(
+        tables.read_journal(spark, f"{published}/journal"), F.lit(None).cast("timestamp_ntz"),
+        columns=(S.KEY, "LINE", "STATUS", "EVENT_TS")))
+    groups = {"LINE": F.col("LINE")}
+    counts = refresh.refresh(
+        refine.yield_parts(live), live, live.select("LINE").distinct(), groups,
+        lambda rows: refine.yield_parts(rows), spread_by=[S.KEY])
+    assert not any("SKU" in r or "DEFECT" in r for r in re.findall(r"ReadSchema: struct<([^>]*)>", plan(counts)))
+
+
+def test_top_value_ranks_without_a_window(spark, published):
+    counts = spark.read.schema("LINE string, BUCKET timestamp_ntz, DEFECT_CODE string, N int").parquet(
+        f"{published}/yield")
+    text = plan(refine.top_value(counts))
+    assert "Window" not in text and "partial_min" in text
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMING))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lineside import schemas as S
 from lineside.operators import cdc, checks, refine
 from lineside.plans import feeds
-from lineside.session import shared_dir
+from lineside.session import shared_dir, sized_for
 from lineside.streaming import landing, merging, pipeline, rollup
 from lineside.streaming.parts import PartedTable, RunLog
 
@@ -212,6 +212,21 @@ def test_land_appends_each_file_once(spark, events, base):
     assert as_set(spark.read.schema(S.TELEMETRY).parquet(f"{base}/landed")) == as_set(feeds.telemetry_of(events))
 
 
+def test_stream_progress(spark, events, base):
+    for _ in landing.land_in_steps(events, f"{base}/events", "event_id", 1):
+        query = landing.land(feeds.telemetry_of(arriving(spark, base)), f"{base}/landed", f"{base}/checkpoint")
+        query.awaitTermination()
+    rows = checks.stream_progress(query).where("rows_read > 0").collect()
+    assert sum(r.rows_read for r in rows) == events.count()
+    assert all(r.started_at and r.elapsed_ms is not None for r in rows)
+
+
+def test_session_sizes(spark):
+    conf = sized_for(100 << 40)
+    assert conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == str(400 << 10)
+    assert sized_for(1)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "200"
+
+
 def test_shared_dir_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     path = shared_dir(spark, "x")
