@@ -283,8 +283,7 @@ def merge_log(spark: SparkSession, d: str) -> DataFrame:
     base = _replay(spark, d, "merge-log", lambda rows, base: merging.merge_stream(
         feeds.journal_of(rows), merging.destination(spark, f"{base}/inspections"), f"{base}/checkpoint",
         RunLog(spark, f"{base}/runs")))
-    return RunLog(spark, f"{base}/runs").read().select(
-        "batch_id", "started_at", "rows_affected", "seconds", "merges", "rows_total")
+    return RunLog(spark, f"{base}/runs").read().select("batch_id", "rows_affected", "merges", "rows_total")
 
 
 @query
@@ -630,7 +629,7 @@ def refresh_history(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def refresh_status(spark: SparkSession, d: str) -> DataFrame:
-    return checks.refresh_status(_pipeline(spark, d, "status", steps=1).log.read())
+    return checks.refresh_status(_pipeline(spark, d, "status", steps=2).log.read())
 
 
 def _named(spark: SparkSession, d: str) -> dict[str, DataFrame]:

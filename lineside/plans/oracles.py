@@ -332,6 +332,21 @@ def _growth() -> str:
         row("STATION_TELEMETRY", "telemetry", "EVENT_TS", None)])
 
 
+def _json(source: str, columns: list[str]) -> str:
+    """Rows as one JSON text each, NULL fields kept, times in milliseconds."""
+    def value(c: str) -> str:
+        return f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%g')" if c.endswith(("_TS", "SEEN_AT")) else c
+
+    pairs = _list(*[f"'{c}': {value(c)}" for c in columns])
+    return f"SELECT CAST(to_json({{{pairs}}}) AS VARCHAR) AS value FROM {source}"
+
+
+_OPERATIONS = f"""
+operations AS (
+  SELECT CASE OP WHEN '{I}' THEN 'INSERT' WHEN '{U}' THEN 'UPDATE' ELSE 'DELETE(soft)' END AS op, INSPECTION_ID,
+    {_list(*[f"CASE WHEN OP <> '{D}' THEN {c} END AS {c}" for c in S.SOURCE_COLUMNS if c != S.KEY])}
+  FROM inspections)"""
+
 ORACLES: dict[str, str] = {
     # sources and sinks
     "journal_read": _feed("SELECT * FROM journal"),
@@ -347,6 +362,8 @@ UNION ALL SELECT 'telemetry_1', max(event_id), count(*) FROM events"""),
     "open_table_read": _gold("SELECT LINE, BUCKET, UNITS, FIRST_PASS_YIELD_PCT FROM yields WHERE LINE = 'PAINT'"),
     "open_table_counts": _gold(
         "SELECT count(*) AS total_rows, count(*) FILTER (WHERE LINE = 'PAINT') AS filtered_rows FROM yields"),
+    "export_json_lines": _feed(_json("journal", list(S.JOURNAL.names))),
+    "export_operations": f"WITH {_journal()}, {_OPERATIONS}\n" + _json("operations", ["op", *S.SOURCE_COLUMNS]),
     "latest_row_wins": """
 SELECT OWNER, upper(trim(coalesce(nullif(MODE, ''), 'STEADY'))) AS MODE
 FROM (SELECT user_id AS OWNER, CASE WHEN event_type = 'click' THEN '' ELSE concat(' ', event_type, ' ') END AS MODE,
@@ -379,6 +396,12 @@ SELECT coalesce(late.{PK}, early.{PK}) AS INSPECTION_ID,
   coalesce(late.{LEAST}, early.{LEAST}) AS _least
 FROM w2 late FULL JOIN w1 early ON early.{PK} = late.{PK}"""),
     "cdc_merge_stream": _gold(f"SELECT {_list(*S.SOURCE_COLUMNS)}, IS_SCRAP FROM live"),
+    "merge_log": _feed(f"""
+SELECT step AS batch_id, n AS rows_affected, row_number() OVER (ORDER BY step) AS merges,
+  CAST(sum(n) OVER (ORDER BY step) AS BIGINT) AS rows_total
+FROM (SELECT (event_id - low) // ((high - low) // 3 + 1) AS step, count(DISTINCT old_id) AS n
+      FROM keyed, (SELECT min(event_id) AS low, max(event_id) AS high FROM events)
+      WHERE event_type IN ('error', 'signup', 'purchase', 'view', 'click') GROUP BY 1)"""),
     "snapshot_then_journal": f"WITH {_journal()},{_halves()},"
                              f"\nloaded AS (SELECT * FROM t1 WHERE NOT _deleted),"
                              f"{_merged('result', 'loaded', 'w2', 'second_half')}"
@@ -571,5 +594,11 @@ grains AS ({_repeats('a', 'live', 'INSPECTION_ID')} UNION ALL
   {_repeats('c', 'yields', 'LINE, BUCKET')} UNION ALL {_repeats('d', 'defects', 'LINE, BUCKET, DEFECT_CODE')}),
 lost AS ({_lost('defects_to_yield', 'defects')} UNION ALL {_lost('stations_to_yield', 'health')}),
 broken AS ({' UNION ALL '.join(_rule(name, 'journal', holds) for name, holds in _JOURNAL_RULES)})"""),
+    "refresh_status": """
+SELECT t.name, 'INCREMENTAL' AS refresh_mode, 'SUCCEEDED' AS last_state, CAST(NULL AS VARCHAR) AS downgrade_reason,
+  count(DISTINCT (event_id - low) // ((high - low) // 2 + 1)) AS refreshes
+FROM events, (SELECT min(event_id) AS low, max(event_id) AS high FROM events),
+  (VALUES ('QUALITY_INSPECTIONS'), ('STATION_HEALTH'), ('YIELD_BY_LINE_5MIN'), ('DEFECT_COUNTS_5MIN')) t(name)
+GROUP BY 1""",
     "table_growth": _growth(),
 }

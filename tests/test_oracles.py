@@ -9,7 +9,7 @@ from conftest import SF_DIR
 import __spark_entry__ as registry
 
 DIR = os.environ.get("ORACLE_SF_DIR", SF_DIR)
-ROWS_ONLY = {"export_json_lines", "export_operations", "merge_log", "refresh_history", "refresh_status"}
+ROWS_ONLY = {"refresh_history"}
 
 
 @pytest.fixture(scope="module")
