@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lineside import schemas as S
+from lineside.functions.times import stamp
 from lineside.operators import refine
 from lineside.operators.refresh import add_parts, signed
 from lineside.session import local_rows
@@ -60,6 +61,12 @@ class Plant:
         """Drop old versions of every stored table."""
         return sum(t.expire(keep) for t in (self.inspections, self.health, self.yields, self.defects))
 
+    def between(self, table: PartedTable, start: datetime, end: datetime) -> DataFrame:
+        """Rows of a bucketed table from ``start`` to ``end``; a look-back opens the files of its days only."""
+        first, last = start.date().isoformat(), end.date().isoformat()
+        days = [p for p in table.snapshot() if first <= p[:10] <= last]
+        return table.read(days).where(F.col("BUCKET").between(stamp(start), stamp(end)))
+
     def frames(self) -> dict[str, DataFrame]:
         """The three tables of the metric layer."""
         return {"yield": self.yields.read(), "defects": self.defects.read(), "stations": self.station_health()}

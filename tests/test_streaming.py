@@ -33,7 +33,7 @@ def run_pipeline(spark, base, rekey=True):
     rows = arriving(spark, base)
     plant = pipeline.Plant.at(spark, f"{base}/plant", parts=4)
     query = pipeline.pipeline_stream(
-        feeds.journal_of(rows, rekey), feeds.telemetry_of(rows), plant, f"{base}/checkpoint")
+        feeds.journal_of(rows, rekey), feeds.telemetry_of(rows), plant, f"{base}/checkpoint", keep=2)
     query.awaitTermination()
     return plant
 
@@ -65,6 +65,10 @@ def test_pipeline_equals_the_batch_model_and_logs_every_refresh(spark, events, b
     for _ in landing.land_in_steps(events, f"{base}/events", "event_id", 4):
         plant = run_pipeline(spark, base)
     check_plant(events, plant, 4)
+    start, end = datetime(2024, 1, 5, 6), datetime(2024, 1, 7, 18)
+    recent = plant.between(plant.yields, start, end)
+    assert as_set(recent) == as_set(plant.yields.read().where(F.col("BUCKET").between(F.lit(start), F.lit(end))))
+    assert 0 < len(recent.inputFiles()) < len(plant.yields.read().inputFiles())
     log = plant.log.read()
     assert {r["name"]: r["refreshes"] for r in checks.refresh_status(log).collect()} == {
         "QUALITY_INSPECTIONS": 4, "STATION_HEALTH": 4, "YIELD_BY_LINE_5MIN": 4, "DEFECT_COUNTS_5MIN": 4}
