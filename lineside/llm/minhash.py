@@ -9,7 +9,8 @@ its smallest ``doc_id`` from there on, so copies are never paired. Classes that
 
 1. In each shared band every class is checked against the smallest one. Verified links give first components.
 2. A class that this leaves outside the component of its band's smallest is checked against the band's classes of every
-   other component. Members of one component need no check against each other, their link changes nothing.
+   other component whose size and sketch (a bit of each minimum) leave the similarity possible. Members of one component need
+   no check against each other, their link changes nothing.
 
 So no link between different components is lost, and no band emits all its pairs unless its members truly fall apart.
 A pair at the limit of 0.8 shares none of the 40 bands of 6 with a chance of 5 in a million.
@@ -21,19 +22,23 @@ kept. An empty table gives an empty result. Other columns, whatever their names,
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineside.llm.common import grams, hashes, mix, settle, slices, text_bytes, words
 from lineside.llm.components import components
 
 BANDS, ROWS = 40, 6
-SIGNATURE = BANDS * ROWS
-#: Verified on full sets only if so much of the signatures agrees; at 0.8 similarity that is 7 deviations off.
+SIGNATURE = 512
+#: Verified on full sets only if so much of the signatures agrees; at 0.8 similarity that is 11 deviations off.
 LIKELY = 0.6
+#: One bit of each minimum makes a sketch. At similarity 0.8 a tenth of the bits differ, 51 with a deviation of 7.
+SKETCH = SIGNATURE // 64
+MOST_BITS = 95
 _rng = np.random.default_rng(7)
 _factor = (_rng.integers(0, 1 << 31, SIGNATURE, dtype=np.uint64) * 2 + 1).astype(np.uint32)[:, None]
 _shift = _rng.integers(0, 1 << 32, SIGNATURE, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -57,12 +62,14 @@ def signature(s: np.ndarray) -> np.ndarray:
     return best
 
 
-def described(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, a and b (digest of the set), bands (one key for each)."""
+def described(docs: DataFrame, k: int) -> DataFrame:
+    """doc_id, n_shingles, a and b (digest of the set), bands (one key for each), sketch."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             sets = shingle_sets(part, k)
-            sigs = np.stack([signature(s) for s in sets]).astype(np.uint64).reshape(len(sets), BANDS, ROWS)
+            minima = np.stack([signature(s) for s in sets])
+            bits = np.packbits((minima >> np.uint32(8)).astype(np.uint8) & 1, axis=1).view(np.int64)
+            sigs = minima[:, :BANDS * ROWS].astype(np.uint64).reshape(len(sets), BANDS, ROWS)
             keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sets), BANDS))
             for j in range(ROWS):
                 keys = mix(keys + sigs[:, :, j])
@@ -72,11 +79,12 @@ def described(docs: DataFrame, k: int, percent: int) -> DataFrame:
                  pa.array(np.array([m.sum(dtype=np.uint64) for m in mixed], np.uint64).view(np.int64)),
                  pa.array(np.array([mix(m + np.uint64(1)).sum(dtype=np.uint64) for m in mixed], np.uint64).view(np.int64)),
                  pa.ListArray.from_arrays(
-                     np.arange(0, BANDS * len(sets) + 1, BANDS, dtype=np.int32), keys.ravel().view(np.int64))],
-                names=["doc_id", "n_shingles", "a", "b", "bands"])
+                     np.arange(0, BANDS * len(sets) + 1, BANDS, dtype=np.int32), keys.ravel().view(np.int64)),
+                 pa.ListArray.from_arrays(np.arange(0, SKETCH * len(sets) + 1, SKETCH, dtype=np.int32), bits.ravel())],
+                names=["doc_id", "n_shingles", "a", "b", "bands", "sketch"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        describe, "doc_id long, n_shingles long, a long, b long, bands array<long>")
+        describe, "doc_id long, n_shingles long, a long, b long, bands array<long>, sketch array<long>")
 
 
 def full_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -116,7 +124,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
-    known = settle(described(docs, k, percent), "described")
+    known = settle(described(docs, k), "described")
     classes = settle(
         known.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "a", "b")
         .agg(F.min("doc_id").alias("rep")), "classes")
@@ -138,14 +146,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         "root", F.coalesce("root", "doc_id"))
     at_center = placed.where("doc_id = center").select("band", F.col("root").alias("center_root")).distinct()
     placed = settle(placed.join(at_center, "band").select("band", "center", "doc_id", "n", "root", "center_root"), "placed")
+    bits = [f"s{i}" for i in range(SKETCH)]
+    sketches = known.join(wanted, "doc_id", "left_semi").select(
+        "doc_id", *[F.get("sketch", F.lit(i)).alias(b) for i, b in enumerate(bits)]).dropDuplicates(["doc_id"])
+    mixed = placed.where("root <> center_root").select("band").distinct()
+    placed = settle(placed.join(mixed, "band").where("doc_id <> center").join(sketches, "doc_id"), "mixed")
     apart = placed.where("root <> center_root").select(
-        "band", F.col("doc_id").alias("x"), F.col("n").alias("x_n"), F.col("root").alias("x_root"))
+        "band", F.col("doc_id").alias("x"), F.col("n").alias("x_n"), F.col("root").alias("x_root"),
+        *[F.col(b).alias(f"x_{b}") for b in bits])
     close = F.least("n", "x_n") * 100 >= F.greatest("n", "x_n") * percent
+    differ = reduce(Column.__add__, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"x_{b}"))) for b in bits])
     # Of two classes outside the center's component, the smaller one asks; inside it, no one does.
     asks = (F.col("root") == F.col("center_root")) | (F.col("x") < F.col("doc_id"))
     rest = (
-        placed.where("doc_id <> center").join(apart, "band")
-        .where((F.col("root") != F.col("x_root")) & close & asks)
+        placed.join(apart, "band")
+        .where((F.col("root") != F.col("x_root")) & close & asks & (differ <= MOST_BITS))
         .select(F.least("x", "doc_id").alias("u"), F.greatest("x", "doc_id").alias("v")).distinct())
     more = settle(verified(rest, sets, percent), "links")
     if not more.isEmpty():
@@ -153,6 +168,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     roots = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "n_shingles", "a", "b", F.coalesce("root", "rep").alias("_root"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_root", "doc_id"))
-    return known.drop("bands").join(roots, ["n_shingles", "a", "b"], "left").select(
+    return known.drop("bands", "sketch").join(roots, ["n_shingles", "a", "b"], "left").select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
