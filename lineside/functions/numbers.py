@@ -1,14 +1,10 @@
-"""Ratios and averages whose last digit does not depend on how the data was split."""
+"""Ratios of whole numbers."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Readings are summed as whole millionths; the feed writes three decimals.
-READING_UNIT = 1_000_000
-
-
 def share_of(part: Column, whole: Column) -> Column:
     """``100 * part / whole`` for whole numbers, rounded half up to two decimals; NULL on an empty whole."""
     whole = F.nullif(whole.cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
@@ -18,27 +14,3 @@ def share_of(part: Column, whole: Column) -> Column:
 def percent(units: Column, scrap: Column) -> Column:
     """First-pass yield in percent."""
     return share_of(units - scrap, units)
-
-
-def in_units(value: Column) -> Column:
-    """A reading in whole millionths, or NULL where it does not fit (NaN, infinity, out of range)."""
-    return F.rint(value * READING_UNIT).try_cast("bigint")
-
-
-def exact_avg(units: Column, fitting: Column, values: Column, plain_sum: Column) -> Column:
-    """Average from additive parts.
-
-    Whole-number sums merge in any order to the same result. Where some reading did not fit or the sum
-    overflowed, the plain double sum decides, as an ordinary average would.
-    """
-    exact = F.when(fitting == values, units.cast("double") / READING_UNIT)
-    return F.coalesce(exact, plain_sum) / F.nullif(values.cast("double"), F.lit(0.0))
-
-
-def steady_avg(value: Column) -> Column:
-    """Average of doubles that comes out the same however the rows are spread over tasks.
-
-    Values are taken in whole millionths; where one does not fit, this is an ordinary average.
-    """
-    units = in_units(value)
-    return exact_avg(F.try_sum(units), F.count(units), F.count(value), F.sum(value))

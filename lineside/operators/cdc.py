@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lineside import schemas as S
-from lineside.functions.skew import spread_join
 from lineside.functions.times import Stamp, stamp
 from lineside.session import local_rows
 
@@ -107,7 +106,6 @@ def apply_newest(
     columns: Sequence[str] = S.SOURCE_COLUMNS,
     guard: bool = False,
     batch: int | Column | None = None,
-    small: bool = False,
 ) -> DataFrame:
     """Apply one event per key to a destination.
 
@@ -116,23 +114,17 @@ def apply_newest(
     of its last change (``_most``, ``_least``) and an older event is ignored. With ``batch`` it carries
     the number of the batch that last changed the row (``_batch``).
 
-    Both sides have at most one row per key, so one full outer join is safe under key skew. A caller that
-    has counted ``newest`` and found it ``small`` gets the same rows from two broadcast joins, in which
-    the target is not shuffled.
+    Both sides have at most one row per key, so the joins are safe under key skew. Held rows meet their event and
+    the events that meet none are added; Spark chooses from the sides' sizes whether the target is shuffled.
     """
     stamps = {"_s": F.lit(True), "_now": stamp(as_of), **({} if batch is None else {"_no": F.lit(batch)})}
     source = newest.withColumns(stamps)
     held = target.withColumn("_t", F.lit(True))
     pk = f"PRIMARY_KEY__{key}"
     on = F.col(key) == F.col(pk)
-    if small:
-        joined = held.join(F.broadcast(source), on, "left")
-        found = target.join(F.broadcast(newest.select(pk)), on, "left_semi").select(F.col(key).alias("_found"))
-        unmet = source.join(F.broadcast(found), F.col(pk) == F.col("_found"), "left_anti")
-        nulls = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in held.schema.fields]
-        joined = joined.unionByName(unmet.selectExpr(*nulls, "*"))
-    else:
-        joined = held.join(source, on, "full_outer")
+    unmet = source.join(target.select(F.col(key).alias("_found")), F.col(pk) == F.col("_found"), "left_anti")
+    nulls = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in held.schema.fields]
+    joined = held.join(source, on, "left").unionByName(unmet.selectExpr(*nulls, "*"))
 
     applies = "_s IS NOT NULL"
     if guard:
@@ -223,10 +215,11 @@ def settle(rows: DataFrame, op: str, order: Sequence[str]) -> DataFrame:
     inserts = rows.where(kind == S.INSERT).groupBy(S.KEY).agg(
         F.max(F.struct(at.alias("at"), base.alias("row"))).alias("_ins"))
     since = inserts.select(S.KEY, F.col("_ins.at").alias("_from"))
-    later = (spread_join(rows.where(kind.isin(S.UPDATE, S.DELETE)), since, [S.KEY], spread_by=order)
+    # A key with many rows is left to Spark's skew join, which splits by measured size.
+    later = (rows.where(kind.isin(S.UPDATE, S.DELETE)).join(since, S.KEY, "left")
              .where(F.col("_from").isNull() | (at > F.col("_from"))).drop("_from"))
     voids = later.where(kind == S.DELETE).groupBy(S.KEY).agg(F.min(at).alias("_void"))
-    updates = (spread_join(later.where(kind == S.UPDATE), voids, [S.KEY], spread_by=order)
+    updates = (later.where(kind == S.UPDATE).join(voids, S.KEY, "left")
                .where(F.col("_void").isNull() | (at < F.col("_void")))
                .groupBy(S.KEY).agg(F.max(F.struct(at.alias("at"), patch.alias("row"))).alias("_upd")))
     return inserts.join(voids, S.KEY, "full_outer").join(updates, S.KEY, "full_outer")

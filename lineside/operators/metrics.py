@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineside.functions import percent, steady_avg
+from lineside.functions import percent
 
 
 @dataclass(frozen=True)
@@ -98,10 +98,10 @@ PLANT = MetricView(
             "yield", lambda: percent(F.sum("UNITS"), F.sum("SCRAP_UNITS")),
             ("average yield", "yield percent", "first pass yield percent")),
         "avg_humidity": Metric(
-            "yield", lambda: steady_avg(F.col("AVG_BOOTH_HUMIDITY")), ("humidity", "average booth humidity")),
+            "yield", lambda: F.avg("AVG_BOOTH_HUMIDITY"), ("humidity", "average booth humidity")),
         "defect_count": Metric("defects", lambda: F.sum("N"), ("defect count", "number of defects")),
         "avg_reading": Metric(
-            "stations", lambda: steady_avg(F.col("AVG_VALUE")), ("average reading", "average sensor value")),
+            "stations", lambda: F.avg("AVG_VALUE"), ("average reading", "average sensor value")),
         "peak_reading": Metric("stations", lambda: F.max("MAX_VALUE"), ("peak reading", "max sensor value")),
     },
 )
@@ -132,10 +132,25 @@ def _one_table(
         rows = rows.join(hub, on, "left")
     for name, test in where.items():
         rows = rows.where(test(F.col(f"_d_{name}")))
-    return rows.groupBy(*[F.col(f"_d_{n}").alias(n) for n in dims]).agg(
+    values = [F.col(f"_d_{n}").alias(n) for n in dims]
+    if not metrics:
+        return rows.select(*values).distinct()
+    return rows.groupBy(*values).agg(
         *[view.metrics[m].build().alias(m) for m in metrics])
 
 
+def _reaching(view: MetricView, tables: Sequence[str]) -> str:
+    """The table among ``tables`` that leads to all of them."""
+    for table in tables:
+        try:
+            for other in tables:
+                view.hub_of(table, other)
+        except ValueError:
+            continue
+        return table
+    raise ValueError(f"no table leads to all of {sorted(tables)}")
+
+
 def metric_query(
     view: MetricView,
     frames: Mapping[str, DataFrame],
@@ -145,7 +160,7 @@ def metric_query(
     order: Sequence[tuple[str, bool]] | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """Metrics by dimensions; names may be synonyms.
+    """Metrics by dimensions; names may be synonyms. Without metrics, the distinct values of the dimensions.
 
     ``where`` maps a dimension to a test on its column. ``order`` lists (name, descending) pairs.
     """
@@ -155,6 +170,8 @@ def metric_query(
     by_table: dict[str, list[str]] = {}
     for m in metrics:
         by_table.setdefault(view.metrics[m].table, []).append(m)
+    if not by_table:
+        by_table[_reaching(view, list(dict.fromkeys(view.dimensions[d].table for d in (*dims, *where))))] = []
 
     results = [_one_table(view, frames, t, dims, ms, where) for t, ms in by_table.items()]
     result = results[0]
@@ -165,7 +182,13 @@ def metric_query(
         result = stacked.groupBy(*dims).agg(*[F.max(m).alias(m) for m in metrics])
     result = result.select(*dims, *metrics)
     if order:
-        names = [n if n in metrics else view.resolve("dimension", n) for n, _ in order]
+        def column(name: str) -> str:
+            try:
+                return view.resolve("metric", name)
+            except ValueError:
+                return view.resolve("dimension", name)
+
+        names = [column(n) for n, _ in order]
         result = result.orderBy(*[F.desc(n) if down else F.asc(n) for n, (_, down) in zip(names, order)])
     return result if limit is None else result.limit(limit)
 

@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineside import schemas as S
-from lineside.functions import bucket, exact_avg, percent
-from lineside.functions.numbers import in_units
+from lineside.functions import bucket, percent
 
 HEALTH_KEYS = S.GRAINS["STATION_HEALTH"]
 YIELD_KEYS = S.GRAINS["YIELD_BY_LINE_5MIN"]
@@ -31,13 +30,11 @@ def active(destination: DataFrame) -> DataFrame:
 
 def health_parts(telemetry: DataFrame, width: int = 5, slices: Column | None = None) -> DataFrame:
     """Additive parts of the telemetry rollup, by bucket or by given time slices."""
-    value, units = F.col("VALUE"), in_units(F.col("VALUE"))
+    value = F.col("VALUE")
     slices = bucket("EVENT_TS", width) if slices is None else slices
     return telemetry.groupBy("STATION_ID", "LINE", "METRIC", slices.alias("BUCKET")).agg(
         F.count("*").alias("READINGS"),
         F.count(value).alias("VALUES_N"),
-        F.count(units).alias("UNITS_N"),
-        F.try_sum(units).alias("UNITS_SUM"),
         F.sum(value).alias("VALUE_SUM"),
         F.max(value).alias("MAX_VALUE"),
     )
@@ -48,8 +45,6 @@ def add_health(parts: DataFrame) -> DataFrame:
     return parts.groupBy(*HEALTH_KEYS).agg(
         F.sum("READINGS").alias("READINGS"),
         F.sum("VALUES_N").alias("VALUES_N"),
-        F.sum("UNITS_N").alias("UNITS_N"),
-        F.try_sum("UNITS_SUM").alias("UNITS_SUM"),
         F.sum("VALUE_SUM").alias("VALUE_SUM"),
         F.max("MAX_VALUE").alias("MAX_VALUE"),
     )
@@ -57,7 +52,7 @@ def add_health(parts: DataFrame) -> DataFrame:
 
 def health_table(parts: DataFrame) -> DataFrame:
     """Parts as the published table: readings, average, maximum."""
-    average = exact_avg(F.col("UNITS_SUM"), F.col("UNITS_N"), F.col("VALUES_N"), F.col("VALUE_SUM"))
+    average = F.col("VALUE_SUM") / F.nullif(F.col("VALUES_N").cast("double"), F.lit(0.0))
     return parts.select(
         *HEALTH_KEYS, F.col("READINGS").cast("int").alias("READINGS"), average.alias("AVG_VALUE"), "MAX_VALUE")
 

@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineside.functions.skew import spread_join
-
 
 def same(left: str, right: str, keys: Sequence[str]) -> Column:
     """Null-safe equality of two aliases on ``keys``."""
@@ -47,19 +45,17 @@ def refresh(
     touched: DataFrame,
     groups: dict[str, Column],
     build: Callable[[DataFrame], DataFrame],
-    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Replace the touched groups of ``gold`` by ``build`` over the source rows of those groups.
 
     Works for any aggregate. A group that has lost its last row disappears. Rows outside the touched
-    groups are filtered before ``build`` sees them; one group may hold a large share of them, so they are
-    spread by the key of the source (``spread_by``).
+    groups are filtered before ``build`` sees them; a group with a large share of them is split by Spark's skew join.
     """
     keys = list(groups)
     names = [f"_g_{k}" for k in keys]
     marked = source.select("*", *[groups[k].alias(n) for k, n in zip(keys, names)])
     wanted = touched.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-    rows = spread_join(marked, wanted, names, "left_semi", spread_by).select(*source.columns)
+    rows = marked.alias("m").join(wanted.alias("w"), same("m", "w", names), "left_semi").select(*source.columns)
     kept = gold.alias("g").join(touched.alias("t"), same("g", "t", keys), "left_anti")
     return kept.unionByName(build(rows))
 

@@ -14,11 +14,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lineside import schemas as S
-from lineside.functions import bucket, steady_avg
+from lineside.functions import bucket
 from lineside.functions.times import minutes
 from lineside.operators import analyst, cdc, checks, metrics, refine, refresh, serve
 from lineside.operators import journal as inspect
 from lineside.plans import feeds
+from lineside.plans.compared import AVERAGES, DECIMALS
 from lineside.session import local_rows, shared_dir
 from lineside.sources import tables
 from lineside.streaming import landing, merging, pipeline, rollup
@@ -34,7 +35,13 @@ MERGE_TAG = "CDC_MERGE"
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    """Register a query; averages are rounded as its SQL rounds them."""
+    averages = AVERAGES.get(build.__name__)
+
+    def compared(spark: SparkSession, d: str) -> DataFrame:
+        return build(spark, d).withColumns({c: F.round(c, DECIMALS) for c in averages})
+
+    QUERIES[build.__name__] = compared if averages else build
     return build
 
 
@@ -417,8 +424,7 @@ def incremental_refresh(spark: SparkSession, d: str) -> DataFrame:
     touched = refresh.changed_groups(refresh.changes(old, new, S.KEY), groups)
     health = _health(spark, d, HOUR)
     gold = refine.yield_by_line(old, health, HOUR)
-    return refresh.refresh(gold, new, touched, groups, lambda rows: refine.yield_by_line(rows, health, HOUR),
-                           spread_by=[S.KEY])
+    return refresh.refresh(gold, new, touched, groups, lambda rows: refine.yield_by_line(rows, health, HOUR))
 
 
 @query
@@ -474,7 +480,7 @@ def recent_yield(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def top_defects(spark: SparkSession, d: str) -> DataFrame:
-    return serve.top_defects(_defects(spark, d), _now(spark, d))
+    return serve.top_defects(_defects(spark, d), _now(spark, d), look_back=DAY)
 
 
 @query
@@ -534,7 +540,7 @@ def weighted_yield(spark: SparkSession, d: str) -> DataFrame:
     weighted = metrics.metric_query(
         metrics.PLANT, {"yield": gold}, ["line"], ["avg_yield_pct", "total_units", "total_scrap"])
     naive = gold.groupBy(F.col("LINE").alias("line")).agg(
-        steady_avg(F.col("FIRST_PASS_YIELD_PCT").cast("double")).alias("mean_of_pct"))
+        F.avg(F.col("FIRST_PASS_YIELD_PCT").cast("double")).alias("mean_of_pct"))
     return weighted.join(naive, "line")
 
 

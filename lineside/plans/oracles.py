@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lineside import schemas as S
+from lineside.plans.compared import rounded_sql
 
 I, U, D = S.INSERT, S.UPDATE, S.DELETE
 PK, MOST, LEAST = S.PK, S.MOST, S.LEAST
@@ -26,9 +27,9 @@ def _bucket(ts: str, width: int) -> str:
     return f"time_bucket(INTERVAL '{width} minutes', {ts}, TIMESTAMP '1970-01-01')"
 
 
-def _steady(x: str) -> str:
-    """Average in whole millionths, halves to even."""
-    return f"CAST(sum(CAST(round_even({x} * 1000000, 0) AS BIGINT)) AS DOUBLE) / 1000000 / count({x})"
+def _average(x: str) -> str:
+    """Plain average."""
+    return f"avg({x})"
 
 
 def _journal(rekey: bool = False) -> str:
@@ -142,7 +143,7 @@ def _health(width: int) -> str:
 health AS (
   SELECT STATION_ID, LINE, METRIC, {_bucket('EVENT_TS', width)} AS BUCKET,
     CAST(count(*) AS INTEGER) AS READINGS,
-    CAST(sum(CAST(round(VALUE * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / count(VALUE) AS AVG_VALUE,
+    avg(VALUE) AS AVG_VALUE,
     max(VALUE) AS MAX_VALUE
   FROM telemetry GROUP BY 1, 2, 3, 4),
 humidity AS (
@@ -462,7 +463,7 @@ SELECT LINE, BUCKET, UNITS, SCRAP_UNITS, FIRST_PASS_YIELD_PCT, round(AVG_BOOTH_H
 FROM yields ORDER BY BUCKET DESC, LINE LIMIT 12"""),
     "top_defects": _gold(f"""
 SELECT LINE, DEFECT_CODE, CAST(sum(N) AS BIGINT) AS N FROM defects
-WHERE DEFECT_CODE <> 'NONE' AND BUCKET >= {_NOW} - INTERVAL '15 minutes'
+WHERE DEFECT_CODE <> 'NONE' AND BUCKET >= {_NOW} - INTERVAL '1440 minutes'
 GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 5"""),
     "top_defects_day": _gold(f"""
 SELECT LINE, DEFECT_CODE, CAST(sum(N) AS BIGINT) AS N FROM defects
@@ -493,7 +494,7 @@ FROM (
   SELECT y.LINE, y.BUCKET, NULL, CAST(sum(N) AS BIGINT), NULL, NULL
   FROM defects x LEFT JOIN yields y ON y.LINE = x.LINE AND y.BUCKET = x.BUCKET WHERE y.LINE <> 'WELD' GROUP BY 1, 2
   UNION ALL
-  SELECT y.LINE, y.BUCKET, NULL, NULL, {_steady('AVG_VALUE')}, max(MAX_VALUE)
+  SELECT y.LINE, y.BUCKET, NULL, NULL, {_average('AVG_VALUE')}, max(MAX_VALUE)
   FROM health x LEFT JOIN yields y ON y.LINE = x.LINE AND y.BUCKET = x.BUCKET WHERE y.LINE <> 'WELD' GROUP BY 1, 2)
 GROUP BY 1, 2""", HOUR),
     "metrics_all": _gold(f"""
@@ -501,20 +502,20 @@ SELECT line, max(total_units) AS total_units, max(total_scrap) AS total_scrap, m
   max(avg_humidity) AS avg_humidity, max(defect_count) AS defect_count,
   max(avg_reading) AS avg_reading, max(peak_reading) AS peak_reading
 FROM (
-  SELECT LINE AS line, {_SUMS}, {_WEIGHTED}, {_steady('AVG_BOOTH_HUMIDITY')} AS avg_humidity, NULL AS defect_count,
+  SELECT LINE AS line, {_SUMS}, {_WEIGHTED}, {_average('AVG_BOOTH_HUMIDITY')} AS avg_humidity, NULL AS defect_count,
     NULL AS avg_reading, NULL AS peak_reading FROM yields GROUP BY 1
   UNION ALL
   SELECT y.LINE, NULL, NULL, NULL, NULL, CAST(sum(N) AS BIGINT), NULL, NULL
   FROM defects x LEFT JOIN yields y ON y.LINE = x.LINE AND y.BUCKET = x.BUCKET GROUP BY 1
   UNION ALL
-  SELECT y.LINE, NULL, NULL, NULL, NULL, NULL, {_steady('AVG_VALUE')}, max(MAX_VALUE)
+  SELECT y.LINE, NULL, NULL, NULL, NULL, NULL, {_average('AVG_VALUE')}, max(MAX_VALUE)
   FROM health x LEFT JOIN yields y ON y.LINE = x.LINE AND y.BUCKET = x.BUCKET GROUP BY 1)
 GROUP BY 1"""),
     "metrics_by_station": _readings(f"""
-SELECT STATION_ID AS station_id, METRIC AS metric, {_steady('AVG_VALUE')} AS avg_reading,
+SELECT STATION_ID AS station_id, METRIC AS metric, {_average('AVG_VALUE')} AS avg_reading,
   max(MAX_VALUE) AS peak_reading FROM health GROUP BY 1, 2"""),
     "weighted_yield": _gold(f"""
-SELECT LINE AS line, {_WEIGHTED}, {_SUMS}, {_steady('CAST(FIRST_PASS_YIELD_PCT AS DOUBLE)')} AS mean_of_pct
+SELECT LINE AS line, {_WEIGHTED}, {_SUMS}, {_average('CAST(FIRST_PASS_YIELD_PCT AS DOUBLE)')} AS mean_of_pct
 FROM yields GROUP BY 1""", HOUR),
     "q1_yield_by_line": _gold(f"SELECT LINE AS line, {_WEIGHTED}, {_SUMS} FROM yields GROUP BY 1 ORDER BY 1"),
     "q2_defect_drivers": _gold("""
@@ -522,7 +523,7 @@ SELECT x.DEFECT_CODE AS defect_code, CAST(sum(x.N) AS BIGINT) AS defect_count
 FROM defects x LEFT JOIN yields y ON y.LINE = x.LINE AND y.BUCKET = x.BUCKET
 WHERE y.LINE = 'PAINT' AND x.DEFECT_CODE <> 'NONE' GROUP BY 1"""),
     "q3_yield_vs_humidity": _gold(f"""
-SELECT LINE AS line, BUCKET AS bucket, {_WEIGHTED}, {_steady('AVG_BOOTH_HUMIDITY')} AS avg_humidity
+SELECT LINE AS line, BUCKET AS bucket, {_WEIGHTED}, {_average('AVG_BOOTH_HUMIDITY')} AS avg_humidity
 FROM yields WHERE LINE = 'PAINT' GROUP BY 1, 2 ORDER BY 2 DESC LIMIT 6"""),
     # analyst questions
     "latest_buckets": _gold("SELECT * FROM recent", more=_COMPLETE.format(width=5, now=_NOW)),
@@ -602,3 +603,4 @@ FROM events, (SELECT min(event_id) AS low, max(event_id) AS high FROM events),
 GROUP BY 1""",
     "table_growth": _growth(),
 }
+ORACLES = {name: rounded_sql(name, sql) for name, sql in ORACLES.items()}

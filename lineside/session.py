@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -12,6 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
+LOCAL_ROOT = "/tmp/checkpoints"
+
+
 def build_session(app: str = "lineside", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings that the results rely on; anything else is left to the cluster."""
     builder = (
@@ -47,13 +49,13 @@ def sized_for(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, s
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session, where the driver is the only machine, may fall back to a temporary folder.
+    Only a local session, where the driver is the only machine, may go without one; it gets ``LOCAL_ROOT``.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="lineside-")
+        root = LOCAL_ROOT
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -43,12 +43,14 @@ def read_consumed(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 def land_in_steps(rows: DataFrame, path: str, position: str, steps: int):
     """Land a batch table in a few steps, in order of ``position``; yields after each step.
 
-    Gives a replayed feed the arrival order of a live one.
+    Gives a replayed feed the arrival order of a live one. Rows without a position come in the last step.
     """
     low, high = rows.agg(F.min(position), F.max(position)).first()
+    low, high = (0, 0) if low is None else (low, high)
     width = (high - low) // steps + 1
     for i in range(steps):
         start = low + i * width
-        (rows.where((F.col(position) >= start) & (F.col(position) < start + width))
+        here = (F.col(position) >= start) & (F.col(position) < start + width)
+        (rows.where(here | F.col(position).isNull() if i == steps - 1 else here)
          .write.mode("overwrite").parquet(f"{path}/step={i:03d}"))
         yield i

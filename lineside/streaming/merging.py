@@ -17,10 +17,6 @@ from lineside.streaming.landing import DRAIN
 from lineside.streaming.parts import PartedTable, RunLog, hash_part
 
 
-# A batch with at most this many keys is broadcast to the touched parts: some tens of MB.
-BROADCAST_ROWS = 100_000
-
-
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -65,15 +61,19 @@ def merge_batch(store: PartedTable, events: DataFrame, batch: int) -> Merged | N
         if rows == 0:
             newest.unpersist()
             return None
-        small = rows <= BROADCAST_ROWS
         old = store.read(touched, before=batch)
+        guarded = "_most" in store.schema.names
         written = replaced = 0
         if not store.committed(batch):
             merged = cdc.apply_newest(
-                old, newest, F.col("_now"), guard="_most" in store.schema.names, batch=F.col("_no"), small=small)
+                old, newest, F.col("_now"), guard=guarded, batch=F.col("_no"))
             written, replaced = store.replace(merged, touched, batch)
-        hit = newest.select(F.col(S.PK).alias(S.KEY))
-        before = old.join(F.broadcast(hit) if small else hit, S.KEY, "left_semi").select(*store.schema.names)
+        # A row whose event the guard refuses has no after-image, so it must have no before-image.
+        hit = newest.select(F.col(S.PK).alias(S.KEY), F.struct(S.MOST, S.LEAST).alias("_at"))
+        before = old.join(hit, S.KEY)
+        if guarded:
+            before = before.where(F.col("_at") > F.struct(F.col("_most").alias(S.MOST), F.col("_least").alias(S.LEAST)))
+        before = before.select(*store.schema.names)
         after = store.read(touched).where(F.col("_batch") == batch)
     except BaseException:
         newest.unpersist()

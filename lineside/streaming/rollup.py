@@ -20,7 +20,7 @@ from lineside.streaming.parts import PartedTable, day_part
 
 HEALTH_PARTS = S.fields(
     STATION_ID=S.STRING, LINE=S.STRING, METRIC=S.STRING, BUCKET=S.NTZ, READINGS=S.LONG, VALUES_N=S.LONG,
-    UNITS_N=S.LONG, UNITS_SUM=S.LONG, VALUE_SUM=S.DOUBLE, MAX_VALUE=S.DOUBLE)
+    VALUE_SUM=S.DOUBLE, MAX_VALUE=S.DOUBLE)
 
 
 def health_store(spark: SparkSession, path: str, parts_per_day: int = 1) -> PartedTable:

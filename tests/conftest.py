@@ -17,9 +17,10 @@ NOON = datetime(2026, 1, 1, 12, 0)
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session(
-        "tests", "local[*]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+def spark(tmp_path_factory):
+    session = build_session("tests", "local[*]", **{
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

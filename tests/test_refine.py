@@ -82,7 +82,7 @@ def test_health_counts_every_reading_and_keeps_a_null_bucket(readings):
         ("s", "PAINT", "booth_temp", 1.1, at(1)), ("s", "PAINT", "booth_temp", 2.2, at(2)),
         ("s", "PAINT", "booth_temp", None, at(3)), ("s", "PAINT", "booth_temp", 7.0, None)))
     rows = {r.BUCKET: r for r in out.collect()}
-    assert (rows[at(0)].READINGS, rows[at(0)].AVG_VALUE, rows[at(0)].MAX_VALUE) == (3, 1.65, 2.2)
+    assert (rows[at(0)].READINGS, rows[at(0)].AVG_VALUE, rows[at(0)].MAX_VALUE) == (3, pytest.approx(1.65), 2.2)
     assert rows[None].AVG_VALUE == 7.0
 
 
@@ -159,3 +159,9 @@ def test_restated_reports_added_and_removed_groups(live, readings):
     kinds = {(r.BUCKET, r.CHANGE) for r in
              refresh.restated(*versions, ["LINE", "BUCKET"], ["UNITS"]).collect()}
     assert kinds == {(NOON, "removed"), (NOON + timedelta(hours=1), "added")}
+
+
+def test_average_keeps_small_readings(frame):
+    readings = frame(S.TELEMETRY, *[
+        {"STATION_ID": "s", "LINE": "PAINT", "METRIC": "m", "EVENT_TS": NOON, "VALUE": 4e-7} for _ in range(2)])
+    assert refine.station_health(readings).first()["AVG_VALUE"] == 4e-7

@@ -192,3 +192,12 @@ def test_control_compare(gold):
     assert (rows["PAINT"].DROP_PCT, rows["PAINT"].OTHERS_DROP_PCT, rows["PAINT"].EXCESS_DROP_PCT) == (
         Decimal("26.00"), 0.0, 26.0)
     assert rows["WELD"].OTHERS_DROP_PCT == 13.0
+
+
+def test_dimensions_without_metrics_and_order_by_a_synonym(frames):
+    codes = metrics.metric_query(metrics.PLANT, frames, ["line", "defect"], [])
+    wanted = frames["defects"].select("LINE", "DEFECT_CODE").distinct().count()
+    assert codes.columns == ["line", "defect_code"] and codes.count() == wanted
+    out = metrics.metric_query(metrics.PLANT, frames, ["line"], ["total_units"], order=[("volume", True)])
+    units = [r.total_units for r in out.collect()]
+    assert units == sorted(units, reverse=True) and units

@@ -236,3 +236,20 @@ def test_shared_dir_follows_the_session(spark):
     path = shared_dir(spark, "x")
     assert path != shared_dir(spark, "x")
     assert root is None or path.startswith(root)
+
+
+def test_refused_events_leave_neither_image(journal, spark, base):
+    store = merging.destination(spark, f"{base}/guarded", guard=True)
+    merging.merge_batch(store, journal(("a", S.INSERT, 5, 5, {S.KEY: "a"}), ("b", S.INSERT, 5, 6, {S.KEY: "b"})), 0).release()
+    merged = merging.merge_batch(store, journal(
+        ("a", S.UPDATE, 4, 4, {S.KEY: "a"}), ("b", S.UPDATE, 6, 6, {S.KEY: "b2"}), ("c", S.INSERT, 6, 7, {S.KEY: "c"})), 1)
+    assert {r[S.KEY] for r in merged.before.collect()} == {"b"}
+    assert {r[S.KEY] for r in merged.after.collect()} == {"b2", "c"}
+    merged.release()
+
+
+def test_rows_without_a_position_land_in_the_last_step(spark, base):
+    rows = spark.range(10).selectExpr("CASE WHEN id < 8 THEN id END AS position", "id")
+    assert list(landing.land_in_steps(rows, f"{base}/steps", "position", 3)) == [0, 1, 2]
+    assert spark.read.parquet(f"{base}/steps").select("id").distinct().count() == 10
+    assert {r.id for r in spark.read.parquet(f"{base}/steps/step=002").where("position IS NULL").collect()} == {8, 9}
