@@ -98,7 +98,9 @@ def test_health_parts_add_up_in_any_split(readings):
     whole = refine.station_health(readings(*rows))
     parts = [refine.health_parts(readings(*rows[i::3])) for i in range(3)]
     added = refine.health_table(refine.add_health(parts[0].unionByName(parts[1]).unionByName(parts[2])))
-    assert as_set(whole) == as_set(added)
+    # The order of a sum of doubles may show in the last bit.
+    near = [x.withColumn("AVG_VALUE", F.round("AVG_VALUE", 9)) for x in (whole, added)]
+    assert as_set(near[0]) == as_set(near[1])
 
 
 def test_yield_keeps_lines_without_humidity_and_does_not_multiply_units(live, readings):
