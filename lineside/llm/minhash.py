@@ -8,11 +8,13 @@ Documents with the same set are one class, found by grouping on the size and a 1
 its smallest ``doc_id`` from there on, so copies are never paired. Classes that share a band are candidates:
 
 1. In each shared band every class is checked against the smallest one. Verified links give first components.
-2. A class that this leaves outside the component of its band's smallest is checked against the band's classes of every
-   other component whose size and sketch (two bits of each minimum) leave the similarity possible. Members of one component need
-   no check against each other, their link changes nothing.
+2. In bands whose classes are not all in the component of the smallest, classes of different components are checked
+   against each other if they share a shingle so early in their sets, rarest shingles first, that the similarity is
+   possible: what two sets share lies at or after their first common shingle in both. Members of one component
+   need no check against each other, their link changes nothing.
 
-So no link between different components is lost, and no band emits all its pairs unless its members truly fall apart.
+The filter in 2 is exact, so no link between different components of a band is lost. It is a join on the shingle and on steps of
+the set's size, so classes that each differ from their group in more than a ninth of their shingles never meet, however many they are.
 A pair at the limit of 0.8 shares none of the 40 bands of 6 with a chance of 5 in a million.
 
 Rows with the same ``doc_id`` are one document. A row without ``doc_id`` is linked with nothing: its component is NULL and it is
@@ -22,11 +24,10 @@ kept. An empty table gives an empty result. Other columns, whatever their names,
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineside.llm.common import grams, hashes, mix, settle, slices, text_bytes, words
@@ -36,9 +37,10 @@ BANDS, ROWS = 40, 6
 SIGNATURE = 512
 #: Verified on full sets only if so much of the signatures agrees; at 0.8 similarity that is 11 deviations off.
 LIKELY = 0.6
-#: Two bits of each minimum make a sketch. At similarity 0.8 a tenth of the bits differ, 102 with a deviation of 11.5.
-SKETCH = 2 * SIGNATURE // 64
-MOST_BITS = 154
+#: Set sizes are compared in steps of a fiftieth of their logarithm, two hundredths of the size.
+STEPS = 50
+#: Shingles in a batch on their way out of Python.
+UNFOLDED = 1 << 18
 _rng = np.random.default_rng(7)
 _factor = (_rng.integers(0, 1 << 31, SIGNATURE, dtype=np.uint64) * 2 + 1).astype(np.uint32)[:, None]
 _shift = _rng.integers(0, 1 << 32, SIGNATURE, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -53,24 +55,22 @@ def shingle_sets(batch: pa.RecordBatch, k: int) -> list[np.ndarray]:
     return [np.unique(grams(h[a:b], min(k, b - a))) if b > a else h[:0] for a, b in zip(bounds, bounds[1:])]
 
 
-def signature(s: np.ndarray) -> np.ndarray:
-    """Minimum of every universal hash over a set."""
+def signature(s: np.ndarray, size: int = SIGNATURE) -> np.ndarray:
+    """Minimum of each of the first ``size`` universal hashes over a set."""
     x = (s >> np.uint64(32)).astype(np.uint32)
-    best = np.full(SIGNATURE, 0xFFFFFFFF, np.uint32)
+    best = np.full(size, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(x), 2048):
-        np.minimum(best, (_factor * x[None, i:i + 2048] + _shift).min(axis=1), out=best)
+        np.minimum(best, (_factor[:size] * x[None, i:i + 2048] + _shift[:size]).min(axis=1), out=best)
     return best
 
 
 def described(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, a and b (digest of the set), bands (one key for each), sketch."""
+    """doc_id, n_shingles, a and b (digest of the set), bands (one key for each)."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             sets = shingle_sets(part, k)
-            minima = np.stack([signature(s) for s in sets])
-            low = np.concatenate([(minima >> np.uint32(n)).astype(np.uint8) & 1 for n in (8, 9)], axis=1)
-            bits = np.packbits(low, axis=1).view(np.int64)
-            sigs = minima[:, :BANDS * ROWS].astype(np.uint64).reshape(len(sets), BANDS, ROWS)
+            minima = np.stack([signature(s, BANDS * ROWS) for s in sets])
+            sigs = minima.astype(np.uint64).reshape(len(sets), BANDS, ROWS)
             keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sets), BANDS))
             for j in range(ROWS):
                 keys = mix(keys + sigs[:, :, j])
@@ -80,12 +80,11 @@ def described(docs: DataFrame, k: int) -> DataFrame:
                  pa.array(np.array([m.sum(dtype=np.uint64) for m in mixed], np.uint64).view(np.int64)),
                  pa.array(np.array([mix(m + np.uint64(1)).sum(dtype=np.uint64) for m in mixed], np.uint64).view(np.int64)),
                  pa.ListArray.from_arrays(
-                     np.arange(0, BANDS * len(sets) + 1, BANDS, dtype=np.int32), keys.ravel().view(np.int64)),
-                 pa.ListArray.from_arrays(np.arange(0, SKETCH * len(sets) + 1, SKETCH, dtype=np.int32), bits.ravel())],
-                names=["doc_id", "n_shingles", "a", "b", "bands", "sketch"])
+                     np.arange(0, BANDS * len(sets) + 1, BANDS, dtype=np.int32), keys.ravel().view(np.int64))],
+                names=["doc_id", "n_shingles", "a", "b", "bands"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        describe, "doc_id long, n_shingles long, a long, b long, bands array<long>, sketch array<long>")
+        describe, "doc_id long, n_shingles long, a long, b long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -101,6 +100,52 @@ def full_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(collect, "doc_id long, s binary, sig binary")
 
 
+def unfolded(sets: DataFrame) -> DataFrame:
+    """doc_id, shingle: a row for each member of each set."""
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, s in zip(batch.column("doc_id").to_pylist(), batch.column("s")):
+                members = np.frombuffer(s.as_buffer(), np.int64)
+                for i in range(0, len(members), UNFOLDED):
+                    part = members[i:i + UNFOLDED]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(part), doc_id, np.int64)), pa.array(part)], names=["doc_id", "shingle"])
+
+    return sets.select("doc_id", "s").mapInArrow(unfold, "doc_id long, shingle long")
+
+
+def possible(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of ``placed`` (doc_id, n, root, bands) with a common band, different roots and an early common shingle.
+
+    ``left`` counts a set's shingles from one on, rarest first, that at least two of the sets have. The sets share ``left`` shingles
+    at most if this one is the first they share; ``(100 + percent) * shared >= percent * (n + m)`` is the similarity asked for.
+    """
+    rows = settle(unfolded(sets.join(placed.select("doc_id"), "doc_id", "left_semi")), "unfolded")
+    often = settle(rows.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1"), "often")
+    last_first = Window.partitionBy("doc_id").orderBy(F.desc("often"), F.desc("shingle"))
+    ranked = rows.join(often, "shingle").withColumn("left", F.row_number().over(last_first).cast("long"))
+    early = settle(
+        ranked.join(placed.select("doc_id", "n", "root", "bands"), "doc_id")
+        .where(F.col("left") * (100 + percent) >= F.ceil(F.col("n") * percent / 100) * percent + F.col("n") * percent), "early")
+
+    def step(size: Column) -> Column:
+        return F.floor(F.log(size) * STEPS)
+
+    # The smaller set of a pair, or one of two equal ones, has this size; the larger one reaches down to it.
+    small = early.where(F.col("left") * (100 + percent) >= F.col("n") * 2 * percent).select(
+        "shingle", step(F.col("n")).alias("step"), "doc_id", "n", "root", "bands", "left")
+    least = F.ceil(F.col("n") * percent / 100)
+    most = F.least("n", F.floor((F.col("left") * (100 + percent) - F.col("n") * percent) / percent))
+    large = early.withColumn("step", F.explode(F.sequence(step(least), step(most)))).select(
+        "shingle", "step", *[F.col(c).alias(f"x_{c}") for c in ("doc_id", "n", "root", "bands", "left")])
+    shared = (F.col("n") + F.col("x_n")) * percent
+    return small.join(large, ["shingle", "step"]).where(
+        (F.col("root") != F.col("x_root")) & (F.col("n") <= F.col("x_n"))
+        & (F.col("left") * (100 + percent) >= shared) & (F.col("x_left") * (100 + percent) >= shared)
+        & F.arrays_overlap("bands", "x_bands")
+    ).select(F.least("doc_id", "x_doc_id").alias("u"), F.greatest("doc_id", "x_doc_id").alias("v")).distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,28 +192,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         "root", F.coalesce("root", "doc_id"))
     at_center = placed.where("doc_id = center").select("band", F.col("root").alias("center_root")).distinct()
     placed = settle(placed.join(at_center, "band").select("band", "center", "doc_id", "n", "root", "center_root"), "placed")
-    bits = [f"s{i}" for i in range(SKETCH)]
-    sketches = known.join(wanted, "doc_id", "left_semi").select(
-        "doc_id", *[F.get("sketch", F.lit(i)).alias(b) for i, b in enumerate(bits)]).dropDuplicates(["doc_id"])
     mixed = placed.where("root <> center_root").select("band").distinct()
-    placed = settle(placed.join(mixed, "band").where("doc_id <> center").join(sketches, "doc_id"), "mixed")
-    apart = placed.where("root <> center_root").select(
-        "band", F.col("doc_id").alias("x"), F.col("n").alias("x_n"), F.col("root").alias("x_root"),
-        *[F.col(b).alias(f"x_{b}") for b in bits])
-    close = F.least("n", "x_n") * 100 >= F.greatest("n", "x_n") * percent
-    differ = reduce(Column.__add__, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"x_{b}"))) for b in bits])
-    # Of two classes outside the center's component, the smaller one asks; inside it, no one does.
-    asks = (F.col("root") == F.col("center_root")) | (F.col("x") < F.col("doc_id"))
-    rest = (
-        placed.join(apart, "band")
-        .where((F.col("root") != F.col("x_root")) & close & asks & (differ <= MOST_BITS))
-        .select(F.least("x", "doc_id").alias("u"), F.greatest("x", "doc_id").alias("v")).distinct())
+    mixed = settle(
+        placed.join(mixed, "band").where("doc_id <> center").groupBy("doc_id", "n", "root")
+        .agg(F.collect_set("band").alias("bands")), "mixed")
+    rest = possible(mixed, sets, percent)
     more = settle(verified(rest, sets, percent), "links")
     if not more.isEmpty():
         found = components(links.union(more), "u", "v")
     roots = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "n_shingles", "a", "b", F.coalesce("root", "rep").alias("_root"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_root", "doc_id"))
-    return known.drop("bands", "sketch").join(roots, ["n_shingles", "a", "b"], "left").select(
+    return known.drop("bands").join(roots, ["n_shingles", "a", "b"], "left").select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

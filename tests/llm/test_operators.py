@@ -125,6 +125,28 @@ def test_links_that_the_bands_smallest_does_not_see(spark):
     assert {r[2] for r in got} == {100}
 
 
+def test_possible_pairs_hold_every_similar_one(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(-(1 << 62), 1 << 62, 60)
+    sets = {}
+    for i in range(120):
+        kept = base[rng.random(60) > rng.choice([0.02, 0.08, 0.2])]
+        sets[i] = np.unique(np.r_[kept, rng.integers(-(1 << 62), 1 << 62, int(rng.integers(0, 12)))]).astype(np.int64)
+    placed = spark.createDataFrame(
+        [(i, len(s), i, [i % 2, 2 + i % 3]) for i, s in sets.items()], "doc_id long, n long, root long, bands array<long>")
+    frame = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sets.items()], "doc_id long, s binary")
+    got = {tuple(r) for r in minhash.possible(placed, frame, 80).collect()}
+    want = set()
+    for i in sets:
+        for j in range(i):
+            common = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common) and (i % 2 == j % 2 or i % 3 == j % 3):
+                want.add((j, i))
+    assert want and want <= got
+    assert all(i % 2 == j % 2 or i % 3 == j % 3 for i, j in got)
+    assert len(got) < 120 * 119 / 2
+
+
 def test_components_of_random_graphs(spark):
     rng = np.random.default_rng(5)
     pairs = [tuple(map(int, rng.integers(0, 120, 2))) for _ in range(90)] + [(500, i) for i in range(501, 560)]
