@@ -14,7 +14,7 @@ its smallest ``doc_id`` from there on, so copies are never paired. Classes that
    need no check against each other, their link changes nothing.
 
 The filter in 2 is exact, so no link between different components of a band is lost. It is a join on the shingle and on steps of
-the set's size, so classes that each differ from their group in more than a ninth of their shingles never meet, however many they are.
+the set's size. Classes of one size that each have over a ninth of their shingles to themselves never meet, however many they are.
 A pair at the limit of 0.8 shares none of the 40 bands of 6 with a chance of 5 in a million.
 
 Rows with the same ``doc_id`` are one document. A row without ``doc_id`` is linked with nothing: its component is NULL and it is
