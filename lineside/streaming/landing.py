@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lineside.streaming.parts import stream_id
+
 DRAIN = {"availableNow": True}
 
 
@@ -23,21 +25,21 @@ def land(rows: DataFrame, path: str, checkpoint: str, trigger: dict = DRAIN) ->
 
 
 def consume_once(rows: DataFrame, path: str, checkpoint: str, trigger: dict = DRAIN) -> StreamingQuery:
-    """Write each batch under its own number.
+    """Write each batch under its stream and number.
 
     A batch that is run again after a crash overwrites its folder, so every landed row counts once
-    although ``foreachBatch`` may call twice.
+    although ``foreachBatch`` may call twice. A new checkpoint is a new stream and overwrites nothing.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            batch.write.mode("overwrite").parquet(f"{path}/stream={stream_id(batch)}/batch={batch_id}")
 
     return (rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**trigger).start())
 
 
 def read_consumed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch=*")
+    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/stream=*/batch=*")
 
 
 def land_in_steps(rows: DataFrame, path: str, position: str, steps: int):

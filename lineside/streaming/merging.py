@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +13,7 @@ from lineside import schemas as S
 from lineside.functions.times import stamp
 from lineside.operators import cdc
 from lineside.streaming.landing import DRAIN
-from lineside.streaming.parts import PartedTable, RunLog, hash_part
-
-
-def utc_now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+from lineside.streaming.parts import Numbers, PartedTable, RunLog, hash_part, utc_now
 
 
 def destination(spark: SparkSession, path: str, parts: int = 16, guard: bool = False) -> PartedTable:
@@ -102,12 +97,15 @@ def merge_stream(
     journal: DataFrame, store: PartedTable, checkpoint: str, log: RunLog | None = None, trigger: dict = DRAIN
 ) -> StreamingQuery:
     """Merge what arrived since the last gate; an empty gate is skipped and leaves no log row."""
+    numbers = Numbers(store.spark, f"{store.path}/numbers")
+
     def apply(events: DataFrame, batch_id: int) -> None:
-        merged = merge_batch(store, events, batch_id)
+        number = numbers.of(events, batch_id)
+        merged = None if number is None else merge_batch(store, events, number)
         if merged:
             merged.release()
             if log:
-                log.write(batch_id, [merged.entry])
+                log.write(number, [merged.entry])
 
     return (journal.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .queryName("merge").trigger(**trigger).start())

@@ -9,7 +9,10 @@ own merge takes the place of this module.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +27,81 @@ LOG = T.StructType(ENTRY.fields + S.fields(batch=S.LONG).fields)
 EMPTY = -1  # version of the marker row that keeps a commit of an empty table visible
 
 
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def stream_id(batch: DataFrame) -> str:
+    """The id that a streaming query keeps in its checkpoint, asked for inside ``foreachBatch``."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+class Folders:
+    """Names and removal of the folders below a path, on whatever file system it is."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self.path = path
+        self._fs = self._make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def names(self, below: str, prefix: str) -> list[str]:
+        found = [f.getPath().getName() for f in self._fs.listStatus(self._make(f"{self.path}/{below}"))]
+        return [n.removeprefix(prefix) for n in found if n.startswith(prefix)]
+
+    def drop(self, folder: str) -> None:
+        self._fs.delete(self._make(f"{self.path}/{folder}"), True)
+
+
+class Numbers:
+    """One rising number for each batch of each stream that writes the same tables.
+
+    Spark counts the batches of a checkpoint from 0, so a second checkpoint repeats the numbers of the first one.
+    A batch that runs again gets the number it had; anything a stream has not brought yet gets the next free one.
+    """
+
+    SCHEMA = S.fields(stream=S.STRING, batch=S.LONG, number=S.LONG)
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self._newest: dict[str, tuple[int, int]] | None = None
+
+    def _known(self) -> dict[str, tuple[int, int]]:
+        """Newest batch and number of each stream: one row per checkpoint ever used."""
+        if self._newest is None:
+            try:
+                rows = self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/number=*")
+                newest = rows.groupBy("stream").agg(F.max("batch").alias("batch"), F.max("number").alias("number")).collect()
+            except AnalysisException as e:
+                if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
+                    raise
+                newest = []
+            self._newest = {r.stream: (r.batch, r.number) for r in newest}
+        return self._newest
+
+    def of(self, batch: DataFrame, batch_id: int) -> int | None:
+        """The number of a batch inside ``foreachBatch``; None if its stream has gone past it."""
+        stream, known = stream_id(batch), self._known()
+        last, number = known.get(stream, (-1, -1))
+        if batch_id <= last:
+            return number if batch_id == last else None
+        number = max((n for _, n in known.values()), default=-1) + 1
+        (local_rows(self.spark, [(stream, batch_id, number)], self.SCHEMA).coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.path}/number={number}"))
+        known[stream] = (batch_id, number)
+        return number
+
+    def expire(self) -> int:
+        """Drop all but the newest number of each stream; returns how many."""
+        kept = {n for _, n in self._known().values()}
+        if not kept:
+            return 0
+        folders = Folders(self.spark, self.path)
+        old = [n for n in folders.names("", "number=") if int(n) not in kept]
+        for n in old:
+            folders.drop(f"number={n}")
+        return len(old)
+
+
 def hash_part(*keys: str, parts: int) -> Callable[[], Column]:
     """Spread rows evenly over ``parts`` by a hash of their key."""
     return lambda: F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("string")
@@ -103,6 +181,10 @@ class PartedTable:
 
         The rebalance hint gathers each part into few files and splits a part that is too large.
         """
+        if self.batches() and batch <= self.batches()[-1]:
+            raise ValueError(
+                f"batch {batch} after batch {self.batches()[-1]} of {self.path}: a stream that stopped inside a batch has to "
+                "finish it before another stream writes the same tables")
         touched, old = set(touched), self.snapshot()
         folder = f"{self.path}/data/v={batch}"
         (rows.select(*self.schema.names).withColumn("_part", self.part())
@@ -135,34 +217,27 @@ class PartedTable:
             return 0
         rows = self._log().where(F.col("batch").isin(kept)).select("version", "part").distinct().collect()
         wanted = {(r.version, r.part) for r in rows}
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-        def folders(path: str, prefix: str) -> list[str]:
-            names = [f.getPath().getName() for f in fs.listStatus(jvm.org.apache.hadoop.fs.Path(path))]
-            return [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
-
-        def drop(path: str) -> None:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
-
-        for batch in folders(f"{self.path}/log", "batch="):
+        live = {version for version, _ in wanted}
+        folders = Folders(self.spark, self.path)
+        for batch in folders.names("log", "batch="):
             if int(batch) < kept[0]:
-                drop(f"{self.path}/log/batch={batch}")
+                folders.drop(f"log/batch={batch}")
         self._batches = kept
         dropped = 0
-        for version in folders(f"{self.path}/data", "v="):
+        for version in folders.names("data", "v="):
             if int(version) > kept[-1]:
                 continue
-            for part in folders(f"{self.path}/data/v={version}", "_part="):
-                if (int(version), part) not in wanted:
-                    drop(f"{self.path}/data/v={version}/_part={part}")
-                    dropped += 1
+            gone = [p for p in folders.names(f"data/v={version}", "_part=") if (int(version), p) not in wanted]
+            for part in gone if int(version) in live else []:
+                folders.drop(f"data/v={version}/_part={part}")
+            if int(version) not in live:
+                folders.drop(f"data/v={version}")
+            dropped += len(gone)
         return dropped
 
 
 class RunLog:
-    """One row per table and batch: what a refresh did. A batch that runs again replaces its rows."""
+    """One row per table and batch: what a refresh did. A batch that runs again replaces its rows, but for failures."""
 
     SCHEMA = S.fields(
         batch_id=S.LONG, name=S.STRING, started_at=S.NTZ, seconds=S.DOUBLE, action=S.STRING, state=S.STRING,
@@ -175,7 +250,7 @@ class RunLog:
 
     def read(self) -> DataFrame:
         try:
-            return self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/run=*")
+            return self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/*=*")
         except AnalysisException as e:
             if "PATH_NOT_FOUND" in (e.getCondition() or ""):
                 return local_rows(self.spark, [], self.SCHEMA)
@@ -198,5 +273,23 @@ class RunLog:
                       "data_timestamp": e["started_at"], "merges": merges, "rows_total": total, **e}
             rows.append(tuple(filled.get(n) for n in self.SCHEMA.names))
         self._totals = (merges, total)
+        self._put(rows, f"run={batch}")
+
+    @contextmanager
+    def watch(self, name: str, action: str, batch: int) -> Iterator[None]:
+        """Log a layer that fails, with its error as the reason, and let the error go on."""
+        started = utc_now()
+        try:
+            yield
+        except Exception as error:
+            merges, total = self.totals(batch)
+            row = {"batch_id": batch, "name": name, "started_at": started, "seconds": (utc_now() - started).total_seconds(),
+                   "action": action, "state": "FAILED", "mode": "INCREMENTAL",
+                   "reason": f"{type(error).__name__}: {error}".splitlines()[0][:500], "data_timestamp": started,
+                   "merges": merges, "rows_total": total}
+            self._put([tuple(row.get(n) for n in self.SCHEMA.names)], f"failed={batch}-{uuid.uuid4().hex[:12]}")
+            raise
+
+    def _put(self, rows: list[tuple], folder: str) -> None:
         (local_rows(self.spark, rows, self.SCHEMA).coalesce(1)
-         .write.mode("overwrite").parquet(f"{self.path}/run={batch}"))
+         .write.mode("overwrite").parquet(f"{self.path}/{folder}"))

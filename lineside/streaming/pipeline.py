@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,8 +19,8 @@ from lineside.operators import refine
 from lineside.operators.refresh import add_parts, signed
 from lineside.session import local_rows
 from lineside.streaming.landing import DRAIN
-from lineside.streaming.merging import destination, merge_batch, utc_now
-from lineside.streaming.parts import PartedTable, RunLog, day_part
+from lineside.streaming.merging import Merged, destination, merge_batch
+from lineside.streaming.parts import Numbers, PartedTable, RunLog, day_part, utc_now
 from lineside.streaming.rollup import add_readings, health_store
 
 YIELD = S.fields(
@@ -37,6 +38,7 @@ class Plant:
     yields: PartedTable
     defects: PartedTable
     log: RunLog
+    numbers: Numbers
 
     @classmethod
     def at(cls, spark: SparkSession, path: str, parts: int = 16, parts_per_day: int = 1) -> Plant:
@@ -49,6 +51,7 @@ class Plant:
             PartedTable(spark, f"{path}/yield", YIELD, day),
             PartedTable(spark, f"{path}/defects", DEFECTS, day),
             RunLog(spark, f"{path}/runs"),
+            Numbers(spark, f"{path}/numbers"),
         )
 
     def active(self) -> DataFrame:
@@ -58,7 +61,8 @@ class Plant:
         return refine.health_table(self.health.read())
 
     def expire(self, keep: int = 2) -> int:
-        """Drop old versions of every stored table."""
+        """Drop old versions of every stored table, and old batch numbers."""
+        self.numbers.expire()
         return sum(t.expire(keep) for t in (self.inspections, self.health, self.yields, self.defects))
 
     def between(self, table: PartedTable, start: datetime, end: datetime) -> DataFrame:
@@ -72,10 +76,10 @@ class Plant:
         return {"yield": self.yields.read(), "defects": self.defects.read(), "stations": self.station_health()}
 
 
-def _both(first: Callable, second: Callable) -> tuple:
-    """Run two independent layers at the same time; an error in either fails the batch."""
+def _both(spark: SparkSession, first: Callable, second: Callable) -> tuple:
+    """Run two independent layers at the same time, as jobs of the caller's query; an error in either fails the batch."""
     with ThreadPoolExecutor(2) as pool:
-        jobs = [pool.submit(first), pool.submit(second)]
+        jobs = [pool.submit(inheritable_thread_target(spark)(f)) for f in (first, second)]
         return jobs[0].result(), jobs[1].result()
 
 
@@ -96,12 +100,17 @@ def refresh_batch(plant: Plant, events: DataFrame, telemetry: DataFrame, batch:
 
     def health() -> set[str]:
         started = utc_now()
-        days, written, replaced = add_readings(plant.health, telemetry, batch, width)
+        with plant.log.watch("STATION_HEALTH", "INCREMENTAL", batch):
+            days, written, replaced = add_readings(plant.health, telemetry, batch, width)
         if days:
             entries.append(_entry("STATION_HEALTH", started, (written, replaced)))
         return days
 
-    humid, merged = _both(health, lambda: merge_batch(plant.inspections, events, batch))
+    def inspections() -> Merged | None:
+        with plant.log.watch("QUALITY_INSPECTIONS", "MERGE", batch):
+            return merge_batch(plant.inspections, events, batch)
+
+    humid, merged = _both(events.sparkSession, health, inspections)
     if merged:
         entries.append(merged.entry)
         rows = signed(refine.active(merged.before), refine.active(merged.after)).persist()
@@ -115,21 +124,23 @@ def refresh_batch(plant: Plant, events: DataFrame, telemetry: DataFrame, batch:
         def defects() -> None:
             started = utc_now()
             if days and not plant.defects.committed(batch):
-                held = plant.defects.read(days, before=batch)
-                table = refine.defect_table(add_parts(held, counts, refine.DEFECT_KEYS, ["N"], "N"))
-                entries.append(_entry("DEFECT_COUNTS_5MIN", started, plant.defects.replace(table, days, batch)))
+                with plant.log.watch("DEFECT_COUNTS_5MIN", "INCREMENTAL", batch):
+                    held = plant.defects.read(days, before=batch)
+                    table = refine.defect_table(add_parts(held, counts, refine.DEFECT_KEYS, ["N"], "N"))
+                    entries.append(_entry("DEFECT_COUNTS_5MIN", started, plant.defects.replace(table, days, batch)))
 
         def yields() -> None:
             started = utc_now()
             touched = days | humid
             if touched and not plant.yields.committed(batch):
-                held = plant.yields.read(touched, before=batch)
-                parts = add_parts(
-                    held, refine.yield_parts(rows, width), refine.YIELD_KEYS, ["UNITS", "SCRAP_UNITS"], "UNITS")
-                table = refine.yield_table(parts, refine.health_table(plant.health.read(touched)))
-                entries.append(_entry("YIELD_BY_LINE_5MIN", started, plant.yields.replace(table, touched, batch)))
-
-        _both(defects, yields)
+                with plant.log.watch("YIELD_BY_LINE_5MIN", "INCREMENTAL", batch):
+                    held = plant.yields.read(touched, before=batch)
+                    parts = add_parts(
+                        held, refine.yield_parts(rows, width), refine.YIELD_KEYS, ["UNITS", "SCRAP_UNITS"], "UNITS")
+                    table = refine.yield_table(parts, refine.health_table(plant.health.read(touched)))
+                    entries.append(_entry("YIELD_BY_LINE_5MIN", started, plant.yields.replace(table, touched, batch)))
+
+        _both(events.sparkSession, defects, yields)
     finally:
         rows.unpersist()
         if merged:
@@ -170,7 +181,10 @@ def pipeline_stream(
     def refresh(batch: DataFrame, batch_id: int) -> None:
         events = batch.where(F.col("feed") == "journal").select("journal.*")
         readings = batch.where(F.col("feed") == "telemetry").select("telemetry.*")
-        refresh_batch(plant, events, readings, batch_id, width)
+        number = plant.numbers.of(batch, batch_id)
+        if number is None:
+            return
+        refresh_batch(plant, events, readings, number, width)
         if keep:
             plant.expire(keep)
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lineside import schemas as S
 from lineside.operators import refine
 from lineside.streaming.landing import DRAIN
-from lineside.streaming.parts import PartedTable, day_part
+from lineside.streaming.parts import Numbers, PartedTable, day_part
 
 HEALTH_PARTS = S.fields(
     STATION_ID=S.STRING, LINE=S.STRING, METRIC=S.STRING, BUCKET=S.NTZ, READINGS=S.LONG, VALUES_N=S.LONG,
@@ -44,7 +44,14 @@ def health_stream(
     telemetry: DataFrame, store: PartedTable, checkpoint: str, width: int = 5, trigger: dict = DRAIN
 ) -> StreamingQuery:
     """Station health kept up to date by adding each batch's parts."""
-    return (telemetry.writeStream.foreachBatch(lambda rows, batch: add_readings(store, rows, batch, width) and None)
+    numbers = Numbers(store.spark, f"{store.path}/numbers")
+
+    def add(readings: DataFrame, batch_id: int) -> None:
+        number = numbers.of(readings, batch_id)
+        if number is not None:
+            add_readings(store, readings, number, width)
+
+    return (telemetry.writeStream.foreachBatch(add)
             .option("checkpointLocation", checkpoint).queryName("health").trigger(**trigger).start())
 
 
@@ -82,6 +89,13 @@ def upsert_stream(
     rows: DataFrame, store: PartedTable, keys: Sequence[str], checkpoint: str, trigger: dict = DRAIN
 ) -> StreamingQuery:
     """Keep the newest row per key of an updating aggregate."""
+    numbers = Numbers(store.spark, f"{store.path}/numbers")
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        number = numbers.of(batch, batch_id)
+        if number is not None:
+            upsert(store, batch, keys, number)
+
     return (rows.writeStream.outputMode("update")
-            .foreachBatch(lambda batch, batch_id: upsert(store, batch, keys, batch_id))
+            .foreachBatch(put)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())

@@ -253,3 +253,74 @@ def test_rows_without_a_position_land_in_the_last_step(spark, base):
     assert list(landing.land_in_steps(rows, f"{base}/steps", "position", 3)) == [0, 1, 2]
     assert spark.read.parquet(f"{base}/steps").select("id").distinct().count() == 10
     assert {r.id for r in spark.read.parquet(f"{base}/steps/step=002").where("position IS NULL").collect()} == {8, 9}
+
+
+def test_a_second_checkpoint_on_the_same_tables_keeps_both_streams(spark, base, journal, frame):
+    """The second stream counts from 0 as the first did, before and after old versions are dropped."""
+    def run(folder, rows, checkpoint):
+        rows.write.mode("append").parquet(f"{base}/{folder}")
+        plant = pipeline.Plant.at(spark, f"{base}/plant", parts=2)
+        pipeline.pipeline_stream(
+            spark.readStream.schema(S.JOURNAL).parquet(f"{base}/{folder}"),
+            spark.readStream.schema(S.TELEMETRY).parquet(f"{base}/readings"), plant, f"{base}/{checkpoint}").awaitTermination()
+        return plant
+
+    frame(S.TELEMETRY).write.parquet(f"{base}/readings")
+    run("first", journal(("a", S.INSERT, 1, 1, {})), "c1")
+    plant = run("second", journal(("b", S.INSERT, 2, 1, {})), "c2")
+    assert {r[S.KEY] for r in plant.active().collect()} == {"a", "b"}
+    plant.expire()
+    run("first", journal(("c", S.INSERT, 3, 1, {})), "c1")
+    plant = run("third", journal(("d", S.INSERT, 4, 1, {})), "c3")
+    plant.expire()
+    assert {r[S.KEY] for r in plant.active().collect()} == {"a", "b", "c", "d"}
+    assert plant.yields.read().agg(F.sum("UNITS")).first()[0] == 4
+    assert plant.log.read().where("action = 'MERGE'").agg(F.max("rows_total")).first()[0] == 4
+    assert len({f.split("/v=")[1].split("/")[0] for f in plant.inspections.read().inputFiles()}) > 1
+
+
+def test_a_second_checkpoint_consumes_beside_the_first(spark, base, journal):
+    for name, key in (("c1", "a"), ("c2", "b")):
+        journal((key, S.INSERT, 1, 1, {})).write.parquet(f"{base}/in-{name}")
+        rows = spark.readStream.schema(S.JOURNAL).parquet(f"{base}/in-{name}")
+        landing.consume_once(rows, f"{base}/out", f"{base}/{name}").awaitTermination()
+    assert landing.read_consumed(spark, f"{base}/out", S.JOURNAL).count() == 2
+
+
+def test_an_old_number_does_not_overwrite_a_live_folder(spark, base, journal):
+    store = merging.destination(spark, f"{base}/store", parts=2)
+    for n, key in enumerate("abcd"):
+        merging.merge_batch(store, journal((key, S.INSERT, n, 1, {})), n).release()
+    store.expire()
+    with pytest.raises(ValueError, match="batch 0 after batch 3"):
+        merging.merge_batch(store, journal(("e", S.INSERT, 9, 1, {})), 0)
+    assert {r[S.KEY] for r in store.read().collect()} == {"a", "b", "c", "d"}
+
+
+def test_expire_leaves_no_empty_version(spark, base, journal):
+    store = merging.destination(spark, f"{base}/store", parts=1)
+    for n in range(4):
+        merging.merge_batch(store, journal(("a", S.INSERT, n, 1, {})), n).release()
+    store.expire()
+    versions = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{base}/store/data")
+    assert {r.path.split("/v=")[1].split("/")[0] for r in versions.select("path").collect() if "/v=" in r.path} == {"2", "3"}
+
+
+def test_a_failed_refresh_is_logged_with_its_reason(spark, base, journal, frame, monkeypatch):
+    plant = pipeline.Plant.at(spark, f"{base}/plant", parts=2)
+    events, replace = journal(("a", S.INSERT, 1, 1, {})), PartedTable.replace
+
+    def failing(self, rows, touched, batch):
+        if self.path.endswith("yield"):
+            raise RuntimeError("disk full")
+        return replace(self, rows, touched, batch)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(PartedTable, "replace", failing)
+        with pytest.raises(RuntimeError, match="disk full"):
+            pipeline.refresh_batch(plant, events, frame(S.TELEMETRY), 0)
+    failed = plant.log.read().where("state = 'FAILED'").collect()
+    assert [(r.name, r.batch_id, r.reason) for r in failed] == [("YIELD_BY_LINE_5MIN", 0, "RuntimeError: disk full")]
+    pipeline.refresh_batch(plant, events, frame(S.TELEMETRY), 0)
+    states = {(r.name, r.state) for r in plant.log.read().collect()}
+    assert {("YIELD_BY_LINE_5MIN", "FAILED"), ("YIELD_BY_LINE_5MIN", "SUCCEEDED")} <= states
