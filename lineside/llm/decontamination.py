@@ -88,7 +88,8 @@ def contaminated(
         shingles = F.when(F.col("k") == n, shingle_array(F.col("w"), n)).otherwise(shingles)
     items = settle(items.select("item_id", "m", "k", shingles.alias("g")), "items")
 
-    texts = docs.where("doc_id IS NOT NULL").select("doc_id", word_array(F.col("text")).alias("w"))
+    known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
+    texts = known.select("doc_id", word_array(F.col("text")).alias("w"))
 
     def grams(n: int) -> DataFrame:
         return texts.select("doc_id", F.lit(n).alias("k"), F.posexplode(shingle_array(F.col("w"), n)).alias("pos", "h"))
@@ -105,7 +106,8 @@ def contaminated(
         .where(F.col("n") >= similarity * (F.col("m") - F.col("k") + 1)).select("doc_id", "item_id"))
     spots = seeds.join(enough, ["doc_id", "item_id"], "left_semi").select("doc_id", "start", "m", "k").distinct()
     spots = spots.groupBy("doc_id").agg(F.collect_list(F.struct("start", "m", "k")).alias("spots"))  # of one text
-    wanted = texts.join(spots, "doc_id")
+    # The spots grow with the corpus, so they are not broadcast; texts are shuffled as they are, word arrays take twice that.
+    wanted = known.join(spots.hint("merge"), "doc_id").select("doc_id", word_array(F.col("text")).alias("w"), "spots")
     per_size = F.array(*[shingle_array(F.col("w"), n) for n in range(1, k + 1)])
     first = F.greatest(F.lit(0), F.least(F.col("s.start"), F.col("n") - F.col("s.m")))
     windows = (
