@@ -137,6 +137,14 @@ def hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray, lower: bool = Fa
     return mix((sums[end] - sums[begin]) * back[begin] + (end - begin).astype(np.uint64))
 
 
+def spans(h: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each range of neighbours, whatever its length; equal sequences of hashes give equal ones."""
+    sums = np.empty(len(h) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(h * _power_table(MULTIPLIER, len(h)), out=sums[1:])
+    return mix((sums[end] - sums[begin]) * _power_table(INVERSE, len(h) + 1)[begin] + (end - begin).astype(np.uint64))
+
+
 def grams(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of each run of ``k`` neighbours; none if there are fewer than ``k``."""
     n = len(h) - k + 1

@@ -1,12 +1,12 @@
-"""Line dedup by pairwise alignment: a block of lines that an earlier document has too goes from the later one.
+"""Line dedup by runs of lines: a block of lines that an earlier document has too goes from the later one.
 
-Every line is a hash. A line that several documents hold leads from each of them to the smallest ``doc_id`` that holds it, so the
-number of pairs follows the number of repeated lines, however common a line is; pairs that share less than a
-block's worth of text through such lines are left out, which is what makes short common lines (a greeting, a
-menu) lead nowhere. Each pair is aligned by patience diff: lines that occur once in both are anchors, the longest increasing
-run of them is kept, grown over equal neighbours, and the gaps between are aligned the same way; a gap without such lines takes the
-k-th occurrence on one side for the k-th on the other. Runs of aligned lines of ``min_words`` words and more
-are deleted from the later document. The smallest document that holds a line never loses it, so one copy of each line stays.
+A block is a run of neighbouring non-blank lines with ``min_words`` words and more. Every line is a hash. From each line the
+shortest block that begins there is hashed, and for each line the shortest block of two lines and more that ends there;
+one aggregate gives each hash the smallest ``doc_id`` that holds it, and all documents but that one lose the lines. That is exact:
+every two neighbours, and every line, of a longer common block lie in one of these runs inside it, so whatever the order, number or
+place of passages, a line goes if and only if it lies in a block that a smaller ``doc_id`` holds. The number of rows follows
+the number of lines, however common a line or a passage is. The smallest document that holds a line never loses it, so one copy
+of each line stays.
 
 Blank lines neither match nor end a block; those inside a deleted block go with it. NULL texts stay NULL. A text may become
 empty. Rows with the same ``doc_id`` are one document and lose nothing to each other; a row without ``doc_id`` is left as
@@ -19,15 +19,14 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineside.llm.common import BLANK_CHARS, BLANKS, settle
+from lineside.llm.common import BLANK_CHARS, BLANKS, settle, spans
 
 MIN_WORDS = 30
-#: A word and the blank after it take two characters at least.
-CHARS_PER_WORD = 2
 
 
 def _once(lines: list[int], start: int, stop: int) -> dict[int, int]:
@@ -65,7 +64,7 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Aligned lines of ``a`` and ``b`` as increasing pairs of positions."""
+    """Aligned lines of ``a`` and ``b`` as increasing pairs of positions; no query calls it any more."""
     out: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b), False)]
     while todo:
@@ -92,21 +91,28 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def common_blocks(a: list[int], b: list[int], b_words: list[int], b_lines: list[int], min_words: int) -> list[dict]:
-    """First and last line of ``b`` of each block of neighbours that ``a`` has too."""
-    out, run, last = [], [], None
-
-    def close():
-        if run and sum(b_words[j] for j in run) >= min_words:
-            out.append({"first": b_lines[run[0]], "last": b_lines[run[-1]]})
-
-    for i, j in patience(a, b):
-        if last is not None and (i, j) != (last[0] + 1, last[1] + 1):
-            close()
-            run = []
-        run.append(j)
-        last = (i, j)
-    close()
+def shortest_runs(words: np.ndarray, at: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last (exclusive) line of the runs that are compared. ``words`` holds the words of each line of all texts end to
+    end, one at least; ``at`` where the lines of each text begin (one more entry than texts)."""
+    line = np.arange(len(words))
+    before = np.concatenate([[0], np.cumsum(words)])
+    owner = np.searchsorted(at, line, "right") - 1
+    stop = np.maximum(np.searchsorted(before, before[:-1] + min_words), line + 1)
+    start = np.minimum(np.searchsorted(before, before[1:] - min_words, "right") - 1, line - 1)
+    from_here, to_here = stop <= at[owner + 1], start >= at[owner]
+    first = np.concatenate([line[from_here], start[to_here]])
+    last = np.concatenate([stop[from_here], line[to_here] + 1])
+    return np.divmod(np.unique(first * (len(words) + 1) + last), len(words) + 1)
+
+
+def merged(cuts: list[dict]) -> list[dict]:
+    """The same lines in as few cuts as there are without joining cuts that only touch."""
+    out: list[dict] = []
+    for cut in sorted(cuts, key=lambda c: c["first"]):
+        if out and cut["first"] <= out[-1]["last"]:
+            out[-1]["last"] = max(out[-1]["last"], cut["last"])
+        else:
+            out.append(dict(cut))
     return out
 
 
@@ -120,37 +126,40 @@ def common_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             i.cast("int").alias("i"), F.xxhash64(body).alias("h"), F.length(body).alias("chars"),
             F.size(F.split(body, BLANKS)).alias("words"))
 
-    hashed = settle(
-        texts.select("doc_id", F.filter(F.transform("lines", line), lambda x: x["chars"] > 0).alias("lines")),
-        "line-hashes")
-    held = hashed.select("doc_id", F.inline("lines")).select("doc_id", "h", "chars")
+    hashed = texts.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.filter(F.transform("lines", line), lambda x: x["chars"] > 0).alias("lines"))
+
+    def cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("lines")
+            at = column.offsets.to_numpy().astype(np.int64)
+            lines = column.values.slice(at[0], at[-1] - at[0])
+            at = at - at[0]
+            i, h, words = (lines.field(c).to_numpy() for c in ("i", "h", "words"))
+            first, stop = shortest_runs(words.astype(np.int64), at, min_words)
+            owner = np.searchsorted(at, first, "right") - 1
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(owner)), pa.array(spans(h.view(np.uint64), first, stop).view(np.int64)),
+                 pa.array(i[first]), pa.array(i[stop - 1])],
+                names=["doc_id", "h", "first", "last"])
+
+    held = settle(hashed.mapInArrow(cut_runs, "doc_id long, h long, first int, last int"), "line-runs")
     repeated = (
         held.groupBy("h").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
         .where("first_doc < last_doc").select("h", "first_doc"))
-    pairs = (
+    # A document's cuts are no more than twice its lines.
+    found = (
         held.join(repeated, "h").where("doc_id <> first_doc")
-        .groupBy("first_doc", "doc_id").agg(F.sum("chars").alias("chars"))
-        .where(F.col("chars") >= CHARS_PER_WORD * min_words - 1).select("first_doc", "doc_id"))
-    a = hashed.select(F.col("doc_id").alias("first_doc"), F.col("lines.h").alias("a"))
-    b = hashed.select(
-        "doc_id", F.col("lines.h").alias("b"), F.col("lines.words").alias("b_words"), F.col("lines.i").alias("b_lines"))
+        .groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("cuts")))
 
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-        for whole in batches:
-            for n in range(0, whole.num_rows, 256):
-                batch = whole.slice(n, 256)
-                columns = [batch.column(c).to_pylist() for c in ("a", "b", "b_words", "b_lines")]
-                cuts = [common_blocks(*row, min_words) for row in zip(*columns)]
-                keep = pa.array([bool(c) for c in cuts], pa.bool_())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").filter(keep), pa.array([c for c in cuts if c], kind)],
-                    names=["doc_id", "cuts"])
-
-    found = pairs.join(a, "first_doc").join(b, "doc_id").select("doc_id", "a", "b", "b_words", "b_lines").mapInArrow(
-        align, "doc_id long, cuts array<struct<first: int, last: int>>")
-    # A document's partners are no more than its lines.
-    return found.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("cuts"))).alias("cuts"))
+        for batch in batches:
+            cuts = pa.array([merged(c) for c in batch.column("cuts").to_pylist()], kind)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), cuts], names=["doc_id", "cuts"])
+
+    return found.mapInArrow(merge, "doc_id long, cuts array<struct<first: int, last: int>>")
 
 
 def remove_common(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -344,3 +344,46 @@ def test_hashes_of_batches_with_offsets():
     assert raw.tobytes() == b"a bcd" and at.tolist() == [0, 4, 4, 4, 5]
     begin, end, first = words(raw, at)
     assert [raw[x:y].tobytes() for x, y in zip(begin, end)] == [b"a", b"bc", b"d"] and first.tolist() == [0, 2, 2, 2, 3]
+
+
+def passage_line(i, n=10):
+    return " ".join(f"p{i}w{j}" for j in range(n))
+
+
+def brute_lines(docs, min_words):
+    """Each text without the lines of its blocks that an earlier document holds."""
+    bodies = {d: [(i, x.split()) for i, x in enumerate(t.split("\n")) if x.split()] for d, t in docs}
+
+    def blocks(d):
+        own = bodies[d]
+        for a in range(len(own)):
+            for z in range(a + 1, len(own) + 1):
+                if sum(len(x) for _, x in own[a:z]) >= min_words:
+                    yield tuple(" ".join(x) for _, x in own[a:z]), own[a][0], own[z - 1][0]
+
+    seen, out = set(), {}
+    for d, t in sorted(docs):
+        gone = {i for key, a, z in blocks(d) if key in seen for i in range(a, z + 1)}
+        seen |= {key for key, _, _ in blocks(d)}
+        out[d] = ("\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone), len(gone))
+    return out
+
+
+def deduped(spark, docs, *args):
+    frame = spark.createDataFrame(docs, SCHEMA)
+    return {r.doc_id: (r.text, r.n_removed) for r in line_dedup.remove_common(frame, *args).collect()}
+
+
+def test_a_passage_whose_lines_come_first_in_different_documents(spark):
+    line = [passage_line(i) for i in range(6)]
+    whole = "\n".join(line)
+    docs = [(1 + k, "\n".join(line[2 * k:2 * k + 2])) for k in range(3)] + [(10, whole), (11, f"top\n{whole}\nend")]
+    got = deduped(spark, docs)
+    assert got[10] == (whole, 0) and got[11] == ("top\nend", 6)
+
+
+def test_line_runs_match_brute_force(spark):
+    rng = np.random.default_rng(11)
+    line = ["", "", "a", *[" ".join(f"x{i}y{j}" for j in range(n)) for i, n in enumerate([1, 2, 2, 3, 5, 9])]]
+    docs = [(d, "\n".join(line[i] for i in rng.integers(0, len(line), int(rng.integers(1, 25))))) for d in range(60)]
+    assert deduped(spark, docs, 6) == brute_lines(docs, 6)
