@@ -387,3 +387,10 @@ def test_line_runs_match_brute_force(spark):
     line = ["", "", "a", *[" ".join(f"x{i}y{j}" for j in range(n)) for i, n in enumerate([1, 2, 2, 3, 5, 9])]]
     docs = [(d, "\n".join(line[i] for i in rng.integers(0, len(line), int(rng.integers(1, 25))))) for d in range(60)]
     assert deduped(spark, docs, 6) == brute_lines(docs, 6)
+
+
+def test_passages_in_another_order_and_more_than_once(spark):
+    p, q = ("\n".join(passage_line(i) for i in own) for own in (range(4), range(10, 15)))
+    docs = [(1, f"{p}\nmid\n{q}"), (2, f"{q}\n\n{p}"), (3, f"{p}\nx\n{p}\ny\n{p}"), (4, f"z\n{q}\n{q}")]
+    assert brute_lines(docs, 30) == {1: (docs[0][1], 0), 2: ("", 9), 3: ("x\ny", 12), 4: ("z", 10)}
+    assert deduped(spark, docs) == brute_lines(docs, 30)
