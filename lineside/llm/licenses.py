@@ -3,8 +3,9 @@
 Words are runs of letters and digits, A-Z folded. Every run of ``K`` words of a template is hashed; of each ``WINDOW`` neighbours
 the smallest hash is a fingerprint. All runs of a text are looked up in the index of fingerprints, so any ``K + WINDOW - 1`` words in common
 are seen. Hits of one template on neighbouring diagonals are a place; there template and text are aligned in a band
-around the diagonal, which gives the matched words, their share of the template (coverage) and the span of the text.
-Of overlapping matches the one with the most matched words stays, then the one with the higher coverage.
+around the diagonals, which gives the matched words, their share of the template (coverage) and the span of the text.
+Of overlapping matches the one with the most matched words stays, then the one with the higher coverage. What lies between the
+matches that stay is aligned again until nothing more is found, so repeats on neighbouring lines are each reported.
 
 Spans are code points, the end exclusive. NULL and empty texts match nothing. Repeated rows are reported each. An empty
 table or no templates give an empty result. Other columns are not read.
@@ -12,6 +13,8 @@ table or no templates give an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -82,11 +85,11 @@ def template_index(templates: dict[str, str]) -> tuple[list[str], list[np.ndarra
     return names, words, np.array(sorted(index), np.uint64), dict(index)
 
 
-def align(a: np.ndarray, b: np.ndarray, shift: int, band: int) -> tuple[int, int, int]:
+def align(a: np.ndarray, b: np.ndarray, shift: int, band: int, need: int = 1) -> tuple[int, int, int]:
     """Local alignment of template ``a`` and text ``b`` with word i of ``a`` near word ``i + shift`` of ``b``.
 
     Equal words score 2, a changed, missing or added one costs 1. Returns matched words and the first and last of
-    ``b`` (exclusive); ties go to the earlier end."""
+    ``b`` (exclusive) of the best one with ``need`` matched words, or no words; ties go to the earlier end."""
     width = 2 * band + 1
     none = (0, 0, -1, -1)  # score, matched, first, last
     above = [none] * (width + 1)
@@ -107,21 +110,58 @@ def align(a: np.ndarray, b: np.ndarray, shift: int, band: int) -> tuple[int, int
                 if c[0] - 1 > cell[0]:
                     cell = (c[0] - 1, *c[1:])
             row[d] = cell if cell[0] > 0 else none
-            if row[d][0] > best[0]:
+            if row[d][0] > best[0] and row[d][1] >= need:
                 best = row[d]
         above = row
     return best[1], best[2], best[3]
 
 
-def places(hits: list[tuple[int, int]], band: int) -> list[int]:
-    """Diagonals to align along: hits (diagonal, position) not further apart than the band are one place."""
-    out, run = [], []
-    for d, _ in sorted(hits):
-        if run and d - run[0] > band:
-            out.append(run[len(run) // 2])
-            run = []
-        run.append(d)
-    return out + [run[len(run) // 2]]
+def places(diagonals: np.ndarray, band: int) -> Iterator[tuple[int, int]]:
+    """Diagonal to align along and width of the band: sorted diagonals not further apart than the band are one place, and each
+    has the whole band around it."""
+    i = 0
+    while i < len(diagonals):
+        j = int(np.searchsorted(diagonals, diagonals[i] + band, "right"))
+        low, high = int(diagonals[i]), int(diagonals[j - 1])
+        yield (low + high) // 2, band + high - (low + high) // 2
+        i = j
+
+
+def matches(
+    b: np.ndarray, hits: dict[int, tuple[np.ndarray, np.ndarray]], names: list[str], words: list[np.ndarray], coverage: float,
+) -> list[tuple[int, int, int, int]]:
+    """Matches in the text ``b`` that do not overlap: template, matched words, first and last (exclusive) word. ``hits`` has the
+    sorted diagonals of each template and the words of ``b`` they come from."""
+    out: list[tuple[int, int, int, int]] = []
+    taken: list[tuple[int, int]] = []
+    todo = [(t, 0, len(b), *own) for t, own in hits.items()]
+    while todo:
+        found, again = [], []
+        for t, lo, hi, diagonals, at in todo:
+            n, seen = len(words[t]), len(found)
+            need = max(1, math.ceil(coverage * n))
+            for shift, band in places(diagonals, BAND):
+                m, first, last = align(words[t], b[lo:hi], shift - lo, band, need)
+                if m:
+                    found.append((-m, -m / n, names[t], lo + first, lo + last, t))
+            if len(found) > seen:
+                again.append((t, lo, hi, diagonals, at))
+        for m, _, _, first, last, t in sorted(set(found)):
+            i = bisect_left(taken, (first, last))
+            if (not i or taken[i - 1][1] <= first) and (i == len(taken) or last <= taken[i][0]):
+                taken.insert(i, (first, last))
+                out.append((t, -m, first, last))
+        todo = []
+        for t, lo, hi, diagonals, at in again:
+            inside = np.array(taken[bisect_left(taken, (lo, lo)):bisect_left(taken, (hi, hi))], np.int64).reshape(-1, 2)
+            left, right = np.append(lo, inside[:, 1]), np.append(inside[:, 0], hi)
+            gap = np.searchsorted(left, at, "right") - 1
+            order = np.flatnonzero(at < right[gap])
+            order = order[np.argsort(gap[order], kind="stable")]  # by gap, then by diagonal
+            for own in np.split(order, np.flatnonzero(np.diff(gap[order])) + 1) if len(order) else []:
+                k = gap[own[0]]
+                todo.append((t, int(left[k]), int(right[k]), diagonals[own], at[own]))
+    return out
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
@@ -148,21 +188,13 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
                     diagonals = defaultdict(list)
                     for p in found:
                         for t, q in index[int(g[p])]:
-                            diagonals[t].append((p - int(first[n]) - q, p))
-                    matches = []
-                    for t, own_hits in diagonals.items():
-                        for shift in places(own_hits, BAND):
-                            m, lo, hi = align(words[t], b, shift, BAND)
-                            if m >= coverage * len(words[t]):
-                                matches.append((-m, -m / len(words[t]), names[t], lo, hi))
-                    taken: list[tuple[int, int]] = []
-                    for m, c, name, lo, hi in sorted(set(matches)):
-                        if all(hi <= x or y <= lo for x, y in taken):
-                            taken.append((lo, hi))
-                            start, stop = int(begin[first[n] + lo]), int(end[first[n] + hi - 1])
-                            before = np.count_nonzero((raw[at[n]:start] & 0xC0) != 0x80)
-                            inside = np.count_nonzero((raw[start:stop] & 0xC0) != 0x80)
-                            rows.append((ids[n].as_py(), name, -c, -m, before, before + inside))
+                            diagonals[t].append((p - int(first[n]) - q, p - int(first[n])))
+                    sides = {t: tuple(np.array(sorted(own)).T) for t, own in diagonals.items()}
+                    for t, m, lo, hi in matches(b, sides, names, words, coverage):
+                        start, stop = int(begin[first[n] + lo]), int(end[first[n] + hi - 1])
+                        before = np.count_nonzero((raw[at[n]:start] & 0xC0) != 0x80)
+                        inside = np.count_nonzero((raw[start:stop] & 0xC0) != 0x80)
+                        rows.append((ids[n].as_py(), names[t], m / len(words[t]), m, before, before + inside))
             columns = list(zip(*rows)) if rows else [()] * 6
             kinds = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(

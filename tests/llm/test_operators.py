@@ -394,3 +394,10 @@ def test_passages_in_another_order_and_more_than_once(spark):
     docs = [(1, f"{p}\nmid\n{q}"), (2, f"{q}\n\n{p}"), (3, f"{p}\nx\n{p}\ny\n{p}"), (4, f"z\n{q}\n{q}")]
     assert brute_lines(docs, 30) == {1: (docs[0][1], 0), 2: ("", 9), 3: ("x\ny", 12), 4: ("z", 10)}
     assert deduped(spark, docs) == brute_lines(docs, 30)
+
+
+def test_license_lines_repeated_on_neighbouring_lines(spark):
+    lines = [licenses.TEMPLATES[name] for name in ("mit-line", "cc-by-4.0-line", "apache-2.0-line")]
+    texts = [sep.join([line] * n) for line in lines for n in range(1, 8) for sep in ("\n", " ")] + ["\n".join(lines * 3)]
+    got = Counter(r[0] for r in rows(licenses.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA))))
+    assert [got[i] for i in range(len(texts))] == [n for _ in lines for n in range(1, 8) for _ in range(2)] + [9]
