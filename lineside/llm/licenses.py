@@ -1,8 +1,9 @@
-"""License scan: winnowed fingerprints of templates pick places, banded alignment measures them.
+"""License scan: words shared with templates pick places, banded alignment measures them.
 
-Words are runs of letters and digits, A-Z folded. Every run of ``K`` words of a template is hashed; of each ``WINDOW`` neighbours
-the smallest hash is a fingerprint. All runs of a text are looked up in the index of fingerprints, so any ``K + WINDOW - 1`` words in common
-are seen. Hits of one template on neighbouring diagonals are a place; there template and text are aligned in a band
+Words are runs of letters and digits, A-Z folded. Every word of a text is looked up among the words of the templates: each is a hit,
+so edits cannot hide a match, however they fall. Counts rule out what cannot reach the coverage, without loss: a text that lacks too
+many words of the template, hits with too few others near them, diagonals with too few words of the template around them.
+Hits of one template on neighbouring diagonals are a place; there template and text are aligned in a band
 around the diagonals, which gives the matched words, their share of the template (coverage) and the span of the text.
 Of overlapping matches the one with the most matched words stays, then the one with the higher coverage. What lies between the
 matches that stay is aligned again until nothing more is found, so repeats on neighbouring lines are each reported.
@@ -23,10 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineside.llm.common import grams, hashes, runs, slices, text_bytes
+from lineside.llm.common import hashes, runs, slices, text_bytes
 
-K = 3
-WINDOW = 3
 BAND = 6
 COVERAGE = 0.75
 # Notices by which works state their licence.
@@ -64,7 +63,7 @@ def hashed_words(column: pa.Array) -> tuple:
 
 
 def winnow(g: np.ndarray, window: int) -> dict[int, int]:
-    """Position of the smallest hash (the last one of equals) of each ``window`` neighbours."""
+    """Position of the smallest hash (the last one of equals) of each ``window`` neighbours; ``scan`` does without."""
     out = {}
     for i in range(max(1, len(g) - window + 1)):
         own = g[i:i + window]
@@ -74,15 +73,45 @@ def winnow(g: np.ndarray, window: int) -> dict[int, int]:
     return out
 
 
-def template_index(templates: dict[str, str]) -> tuple[list[str], list[np.ndarray], np.ndarray, dict[int, list[tuple[int, int]]]]:
+def template_index(templates: dict[str, str]) -> tuple[list[str], list[np.ndarray], np.ndarray, list[np.ndarray], np.ndarray]:
+    """Names; words of each template; all of these words, sorted; each template in numbers of these; how often it has each."""
     names = sorted(templates)
-    words, index = [], defaultdict(list)
-    for t, name in enumerate(names):
-        h = hashed_words(pa.array([templates[name]]))[-1]
-        words.append(h)
-        for p, x in winnow(grams(h, K), WINDOW).items():
-            index[x].append((t, p))
-    return names, words, np.array(sorted(index), np.uint64), dict(index)
+    words = [hashed_words(pa.array([templates[name]]))[-1] for name in names]
+    keys = np.unique(np.concatenate([np.empty(0, np.uint64), *words]))
+    codes = [np.searchsorted(keys, w) for w in words]
+    counts = np.array([np.bincount(c, minlength=len(keys)) for c in codes]).reshape(len(names), len(keys))
+    return names, words, keys, codes, counts
+
+
+def needed(n: int, coverage: float) -> int:
+    """Words of a template of ``n`` that a match has at least."""
+    return max(1, math.ceil(coverage * n))
+
+
+def possible(text: np.ndarray, code: np.ndarray, texts: int, counts: np.ndarray, coverage: float) -> Iterator[tuple[int, int]]:
+    """Texts and templates such that the text holds enough of the template's words; ``text`` and ``code`` say which word is where."""
+    present = np.unique(text * counts.shape[1] + code)
+    text, code = np.divmod(present, counts.shape[1])
+    for t, own in enumerate(counts):
+        n = np.bincount(text, weights=own[code], minlength=texts)
+        yield from ((int(x), t) for x in np.flatnonzero(n >= needed(int(own.sum()), coverage)))
+
+
+def hits_near(at: np.ndarray, code: np.ndarray, own: np.ndarray, template: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted diagonals of the hits of one template and the words they come from, without hits that have too few near them to
+    be in a match: no match is longer than the template and the widest band."""
+    keep = own[code] > 0
+    at, code = at[keep], code[keep]
+    reach = len(template) + 4 * BAND
+    dense = np.searchsorted(at, at + reach, "right") - np.searchsorted(at, at - reach) >= need
+    at, code = at[dense], code[dense]
+    order = np.argsort(template, kind="stable")
+    n = own[code]
+    first = np.repeat(np.searchsorted(template[order], code) - (np.cumsum(n) - n), n)
+    at = np.repeat(at, n)
+    diagonals = at - order[first + np.arange(len(at))]
+    order = np.lexsort((at, diagonals))
+    return diagonals[order], at[order]
 
 
 def align(a: np.ndarray, b: np.ndarray, shift: int, band: int, need: int = 1) -> tuple[int, int, int]:
@@ -116,14 +145,18 @@ def align(a: np.ndarray, b: np.ndarray, shift: int, band: int, need: int = 1) ->
     return best[1], best[2], best[3]
 
 
-def places(diagonals: np.ndarray, band: int) -> Iterator[tuple[int, int]]:
+def places(diagonals: np.ndarray, at: np.ndarray, band: int, need: int) -> Iterator[tuple[int, int]]:
     """Diagonal to align along and width of the band: sorted diagonals not further apart than the band are one place, and each
-    has the whole band around it."""
+    has the whole band around it. Bands with fewer than ``need`` different words of the template are left out."""
     i = 0
     while i < len(diagonals):
         j = int(np.searchsorted(diagonals, diagonals[i] + band, "right"))
         low, high = int(diagonals[i]), int(diagonals[j - 1])
-        yield (low + high) // 2, band + high - (low + high) // 2
+        shift = (low + high) // 2
+        wide = band + high - shift
+        x, y = np.searchsorted(diagonals, [shift - wide, shift + wide + 1])
+        if y - x >= need and len(np.unique(at[x:y] - diagonals[x:y])) >= need:
+            yield shift, wide
         i = j
 
 
@@ -139,8 +172,8 @@ def matches(
         found, again = [], []
         for t, lo, hi, diagonals, at in todo:
             n, seen = len(words[t]), len(found)
-            need = max(1, math.ceil(coverage * n))
-            for shift, band in places(diagonals, BAND):
+            need = needed(n, coverage)
+            for shift, band in places(diagonals, at, BAND, need):
                 m, first, last = align(words[t], b[lo:hi], shift - lo, band, need)
                 if m:
                     found.append((-m, -m / n, names[t], lo + first, lo + last, t))
@@ -169,27 +202,25 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
     own = TEMPLATES if templates is None else templates
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, words, keys, index = template_index(own)
+        names, words, keys, codes, counts = template_index(own)
         for part in slices(batches, "text"):
             raw, at, begin, end, first, h = hashed_words(part.column("text"))
             rows = []
-            g = grams(h, K)
-            if len(keys) and len(g):
-                spot = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
-                hits = np.flatnonzero(keys[spot] == g)
+            if len(keys) and len(h):
+                spot = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                hits = np.flatnonzero(keys[spot] == h)
+                code = spot[hits]
                 text = np.searchsorted(first, hits, "right") - 1
                 by_text: dict[int, list[int]] = defaultdict(list)
-                for n, p in zip(text.tolist(), hits.tolist()):
-                    if p + K <= first[n + 1]:
-                        by_text[n].append(p)
+                for n, t in possible(text, code, part.num_rows, counts, coverage):
+                    by_text[n].append(t)
                 ids = part.column("doc_id")
-                for n, found in by_text.items():
+                for n, found in sorted(by_text.items()):
                     b = h[first[n]:first[n + 1]]
-                    diagonals = defaultdict(list)
-                    for p in found:
-                        for t, q in index[int(g[p])]:
-                            diagonals[t].append((p - int(first[n]) - q, p - int(first[n])))
-                    sides = {t: tuple(np.array(sorted(own)).T) for t, own in diagonals.items()}
+                    x, y = np.searchsorted(hits, [first[n], first[n + 1]])
+                    sides = {
+                        t: hits_near(hits[x:y] - first[n], code[x:y], counts[t], codes[t], needed(len(words[t]), coverage))
+                        for t in found}
                     for t, m, lo, hi in matches(b, sides, names, words, coverage):
                         start, stop = int(begin[first[n] + lo]), int(end[first[n] + hi - 1])
                         before = np.count_nonzero((raw[at[n]:start] & 0xC0) != 0x80)

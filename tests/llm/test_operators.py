@@ -401,3 +401,33 @@ def test_license_lines_repeated_on_neighbouring_lines(spark):
     texts = [sep.join([line] * n) for line in lines for n in range(1, 8) for sep in ("\n", " ")] + ["\n".join(lines * 3)]
     got = Counter(r[0] for r in rows(licenses.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA))))
     assert [got[i] for i in range(len(texts))] == [n for _ in lines for n in range(1, 8) for _ in range(2)] + [9]
+
+
+def edited(words, rng, changed, added):
+    """``words`` with some replaced or left out, and others put between."""
+    out = list(words)
+    for i in rng.choice(len(words), changed, replace=False):
+        out[i] = "" if rng.random() < 0.3 else "zz"
+    for i in rng.integers(0, len(words), added):
+        out[i] += " yy"
+    return "aa bb " + " ".join(x for x in out if x) + " cc dd"
+
+
+def test_licenses_edited_to_the_coverage_limit_match_brute_force(spark):
+    rng = np.random.default_rng(4)
+    line = licenses.TEMPLATES["mit-line"]
+    got = rows(licenses.scan(spark.createDataFrame([(1, line.replace("the", "an")), (2, "released under my xx license")], SCHEMA)))
+    assert [(r[0], r[1], r[2], r[3]) for r in got] == [(1, "mit-line", 0.8, 4)]
+    for name, template in licenses.TEMPLATES.items():
+        words = re.findall(r"[A-Za-z0-9]+", template)
+        n = len(words)
+        limit = n - int(np.ceil(licenses.COVERAGE * n))
+        texts = [edited(words, rng, min(n, max(0, limit + d)), added) for d in (-1, 0, 0, 0, 1) for added in (0, 1, 3) for _ in range(3)]
+        own, *split = (licenses.hashed_words(pa.array([t])) for t in (template, *texts))
+        want = {}
+        for i, text in enumerate(split):
+            m, lo, hi = licenses.align(own[-1], text[-1], 0, n + len(text[-1]), n - limit)
+            if m:
+                want[i] = (m, int(text[2][lo]), int(text[3][hi - 1]))
+        got = {r[0]: (r[3], r[4], r[5]) for r in rows(licenses.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA), {name: template}))}
+        assert want and got == want
