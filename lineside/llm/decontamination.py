@@ -6,14 +6,12 @@ index: the sum of the smaller weights over the sum of the larger ones.
 
 1. Windows that can reach the similarity hold a shingle of the item, and there are enough positions in the text with
    such shingles. One scan of the text finds these positions, and every shared shingle puts a window where the item would lie.
-2. Each window and item has a 64-bit SimHash of its weighted shingles. Fingerprints are cut into ``RADIUS + 1`` blocks; two that
-   differ in at most ``RADIUS`` bits agree in a block, so a join on (size, block, bits) finds all of them.
-3. Weighted shingles of what is left are compared in full.
+2. A window meets the items of its size that have enough such positions in its text; weighted shingles are compared in full.
 
-At similarity 0.8 about 10 of 64 bits differ, with a deviation of 3, so the radius of 20 loses next to nothing.
+Both steps are exact: no pair is left out by a sketch.
 
-DataFrame functions only. Items or texts that are NULL or have no word match nothing, nor do rows without ``doc_id``. Repeated rows
-count once. Empty tables give an empty result. Other columns, whatever their names, are not read.
+DataFrame functions only. Items or texts that are NULL or have no word match nothing, nor do rows without ``doc_id``. Items
+without ``item_id`` are compared as well, and reported as one item with a NULL ``item_id``. Repeated rows count once. Empty tables give an empty result. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -27,8 +25,6 @@ from lineside.llm.common import BLANKS, let, settle
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 20
-BITS = 64
 #: Shingles of the benchmark that are broadcast (24 bytes each); above that the join shuffles.
 BROADCAST_SHINGLES = 1_000_000
 
@@ -49,23 +45,6 @@ def shingle_array(words: Column, k: int) -> Column:
     return let(words, runs)
 
 
-def simhash(shingles: str) -> Column:
-    """Bit j is set if it is set in more than half of the weight of the shingles."""
-    return F.expr(
-        f"aggregate(sequence(0, {BITS - 1}), 0L, (f, j) -> f | IF(2 * aggregate({shingles}, 0, (n, h) -> "
-        f"n + CAST(shiftright(h, j) & 1L AS INT)) > size({shingles}), shiftleft(1L, j), 0L))")
-
-
-def blocks(fingerprint: str, radius: int = RADIUS) -> Column:
-    """(block, bits) for ``radius + 1`` blocks that cover the fingerprint."""
-    n = radius + 1
-    cuts = [BITS * b // n for b in range(n + 1)]
-    return F.array(*[
-        F.struct(F.lit(b).alias("block"),
-                 F.shiftright(F.col(fingerprint), lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)).alias("bits"))
-        for b, (lo, hi) in enumerate(zip(cuts, cuts[1:]))])
-
-
 def weighted(shingles: Column) -> Column:
     """A set that stands for the weighted shingles: the n-th occurrence of a shingle is an element of its own."""
     def numbered(g: Column) -> Column:
@@ -76,7 +55,7 @@ def weighted(shingles: Column) -> Column:
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS,
+    docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY,
 ) -> DataFrame:
     """One row per document (doc_id, text) and item (item_id, text) that meet: doc_id, item_id, similarity of the best
     window, start (its first word, from 0) and n_words."""
@@ -101,10 +80,12 @@ def contaminated(
     seeds = settle(held.join(index, ["k", "h"]).select(
         "doc_id", "item_id", "m", "k", "pos", (F.col("pos") - F.col("at")).alias("start")), "seeds")
     # As many positions as the similarity asks for, in the whole text.
-    enough = (
+    enough = settle(
         seeds.groupBy("doc_id", "item_id", "m", "k").agg(F.countDistinct("pos").alias("n"))
-        .where(F.col("n") >= similarity * (F.col("m") - F.col("k") + 1)).select("doc_id", "item_id"))
-    spots = seeds.join(enough, ["doc_id", "item_id"], "left_semi").select("doc_id", "start", "m", "k").distinct()
+        .where(F.col("n") >= similarity * (F.col("m") - F.col("k") + 1))
+        .select(F.col("doc_id").alias("_doc"), F.col("item_id").alias("_item"), F.col("m").alias("_m")), "enough")
+    same_item = F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("m") == F.col("_m"))
+    spots = seeds.join(enough, (F.col("doc_id") == F.col("_doc")) & same_item, "left_semi").select("doc_id", "start", "m", "k").distinct()
     spots = spots.groupBy("doc_id").agg(F.collect_list(F.struct("start", "m", "k")).alias("spots"))  # of one text
     # The spots grow with the corpus, so they are not broadcast; texts are shuffled as they are, word arrays take twice that.
     wanted = known.join(spots.hint("merge"), "doc_id").select("doc_id", word_array(F.col("text")).alias("w"), "spots")
@@ -117,13 +98,10 @@ def contaminated(
                 F.slice(F.get("by_k", F.col("s.k") - 1), first + 1,
                         F.greatest(F.lit(0), F.least("n", "s.m") - F.col("s.k") + 1)).alias("g"))
         .where("size(g) > 0"))
-    windows = settle(windows.distinct().withColumn("f", simhash("g")), "windows")
-    marked = items.withColumn("f", simhash("g"))
-    left = windows.select("doc_id", "start", "m", "n_words", "g", "f", F.inline(blocks("f", radius)))
-    right = marked.select("item_id", "m", F.col("g").alias("item_g"), F.col("f").alias("item_f"), F.inline(blocks("f", radius)))
+    windows = settle(windows.distinct(), "windows").withColumnRenamed("m", "window_m")
     near = (
-        left.join(right, ["m", "block", "bits"])
-        .where(F.bit_count(F.col("f").bitwiseXOR(F.col("item_f"))) <= radius)
+        windows.join(enough, (F.col("doc_id") == F.col("_doc")) & (F.col("window_m") == F.col("_m")))
+        .join(items.select("item_id", "m", F.col("g").alias("item_g")), same_item)
         .select("doc_id", "item_id", "start", "n_words", "g", "item_g").distinct())
     common = F.size(F.array_intersect("x", "y"))
     scored = near.select(

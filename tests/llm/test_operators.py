@@ -431,3 +431,18 @@ def test_licenses_edited_to_the_coverage_limit_match_brute_force(spark):
                 want[i] = (m, int(text[2][lo]), int(text[3][hi - 1]))
         got = {r[0]: (r[3], r[4], r[5]) for r in rows(licenses.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA), {name: template}))}
         assert want and got == want
+
+
+def test_short_texts_at_the_limit_of_similarity_are_all_contaminated(spark):
+    """Few shingles, and repeated ones: most of the weight hangs together, so a sketch of the whole differs by more."""
+    items = [(i, " ".join(f"i{i}w{j}" for j in range(9))) for i in range(400)]
+    items += [(i, " ".join([f"i{i}a", f"i{i}b"] * 4 + [f"i{i}c"])) for i in range(400, 480)]
+    docs = spark.createDataFrame([(i, " ".join(t.split()[:8])) for i, t in items], SCHEMA)
+    got = rows(decontamination.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")))
+    assert sorted(r[:3] for r in got) == [(i, i, 0.8) for i, _ in items]
+
+
+def test_benchmark_items_without_an_id_are_compared(spark):
+    items = spark.createDataFrame([(None, "a b c d e f"), (None, "p q r s t u v"), (7, "g h i j k l")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x a b c d e f"), (2, "p q r s t u v"), (3, "g h i j k l"), (4, "no")], SCHEMA)
+    assert sorted(rows(decontamination.contaminated(docs, items).select("doc_id", "item_id", "start"))) == [(1, None, 1), (2, None, 0), (3, 7, 0)]
