@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lineside.llm import (
     decontamination, language_id, licenses, line_dedup, minhash, oracles, packing, pii, quality_classifier, quality_rules,
-    token_files)
+    ranked_search, secret_scan, spelling, token_files)
 from lineside.llm.common import ship
 
 PREDICTED_FROM = 0.3
@@ -84,9 +84,26 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(spark, documents(spark, sf_dir), tokenizer_path(), end_id=2)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The table names no repository: every document stands for one, and its source for their owner.
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return secret_scan.summary(docs, owner=F.col("source"), repository=F.col("doc_id"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir), least_length=5, least_n=3, noise=97)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_classifier, op2_decontamination, op3_quality_rules, op4_personal_data, op5_near_duplicates, op6_packing,
-        op7_language_id, op8_license_scan, op9_line_dedup, op10_token_files)
+        op7_language_id, op8_license_scan, op9_line_dedup, op10_token_files, op11_secret_scan, op12_spelling_variants, op13_ranked_search)
+}
+ORACLES: dict[str, str] = {
+    "op5_near_duplicates": oracles.NEAR_DUPLICATES, "op11_secret_scan": oracles.SECRETS,
+    "op12_spelling_variants": oracles.SPELLING, "op13_ranked_search": oracles.SEARCH,
 }
-ORACLES: dict[str, str] = {"op5_near_duplicates": oracles.NEAR_DUPLICATES}
