@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,17 +114,14 @@ def apply_newest(
     of its last change (``_most``, ``_least``) and an older event is ignored. With ``batch`` it carries
     the number of the batch that last changed the row (``_batch``).
 
-    Both sides have at most one row per key, so the joins are safe under key skew. Held rows meet their event and
-    the events that meet none are added; Spark chooses from the sides' sizes whether the target is shuffled.
+    Both sides have at most one row per key, so the join is safe under key skew. Each side enters it once, and both keep the
+    partitioning of the folds they come from.
     """
     stamps = {"_s": F.lit(True), "_now": stamp(as_of), **({} if batch is None else {"_no": F.lit(batch)})}
     source = newest.withColumns(stamps)
     held = target.withColumn("_t", F.lit(True))
     pk = f"PRIMARY_KEY__{key}"
-    on = F.col(key) == F.col(pk)
-    unmet = source.join(target.select(F.col(key).alias("_found")), F.col(pk) == F.col("_found"), "left_anti")
-    nulls = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in held.schema.fields]
-    joined = held.join(source, on, "left").unionByName(unmet.selectExpr(*nulls, "*"))
+    joined = held.join(source, F.col(key) == F.col(pk), "full_outer")
 
     applies = "_s IS NOT NULL"
     if guard:
@@ -204,35 +201,63 @@ def split_key_changes(events: DataFrame, key: str = S.KEY) -> DataFrame:
     ).select("_e.*")
 
 
-def settle(rows: DataFrame, op: str, order: Sequence[str]) -> DataFrame:
-    """What a tick of source rows leaves per key: its last insert, then the first void after that, and the
-    newest update between the two."""
-    at = F.struct(*order)
-    kind = F.col(op)
-    base = F.struct(*[c for c in S.SOURCE_COLUMNS if c != S.KEY])
-    patch = F.struct("STATUS", "DEFECT_CODE", "UPDATED_TS")
-
-    inserts = rows.where(kind == S.INSERT).groupBy(S.KEY).agg(
-        F.max(F.struct(at.alias("at"), base.alias("row"))).alias("_ins"))
-    since = inserts.select(S.KEY, F.col("_ins.at").alias("_from"))
-    # A key with many rows is left to Spark's skew join, which splits by measured size.
-    later = (rows.where(kind.isin(S.UPDATE, S.DELETE)).join(since, S.KEY, "left")
-             .where(F.col("_from").isNull() | (at > F.col("_from"))).drop("_from"))
-    voids = later.where(kind == S.DELETE).groupBy(S.KEY).agg(F.min(at).alias("_void"))
-    updates = (later.where(kind == S.UPDATE).join(voids, S.KEY, "left")
-               .where(F.col("_void").isNull() | (at < F.col("_void")))
-               .groupBy(S.KEY).agg(F.max(F.struct(at.alias("at"), patch.alias("row"))).alias("_upd")))
-    return inserts.join(voids, S.KEY, "full_outer").join(updates, S.KEY, "full_outer")
+def settle(rows: DataFrame, op: str, order: Sequence[str], width: int | None = None) -> DataFrame:
+    """What a tick of source rows leaves per key: its last insert, a void after that, and the newest update in between.
 
+    One shuffle by key: running maxima over a key's rows tell which insert and which void came last before an update. A void
+    after the last insert is one that is newer than it, and an update counts if no void stands between its insert and itself.
 
-def direct_apply(target: DataFrame, rows: DataFrame, op: str, order: Sequence[str], as_of: Stamp) -> DataFrame:
+    With ``width`` the tick is cut into stretches of so many positions of ``order[0]``. What a stretch leaves is one row per key, and
+    stretches combine associatively in their order, so a key that holds much of a long tick is spread over tasks.
+    """
+    at, kind = F.struct(*order), F.col(op)
+    base = F.struct(*[c for c in S.SOURCE_COLUMNS if c != S.KEY])
+    patch = F.struct("STATUS", "DEFECT_CODE", "UPDATED_TS")
+    keys = [S.KEY] if width is None else [S.KEY, "_stretch"]
+    tick = rows.where(kind.isin(*S.DATA_EVENTS))
+    if width is not None:
+        tick = tick.withColumn("_stretch", F.floor(F.col(order[0]) / width))
+    so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    since, voided = (F.max(F.when(kind == k, at)).over(so_far) for k in (S.INSERT, S.DELETE))
+    seen = tick.withColumns({"_since": since, "_voided": voided})
+    live = F.col("_voided").isNull() | (F.col("_voided") < F.col("_since"))
+    parts = seen.groupBy(*keys).agg(
+        F.max(F.when(kind == S.INSERT, F.struct(at.alias("at"), base.alias("row")))).alias("_ins"),
+        F.max(F.when(kind == S.DELETE, at)).alias("_void"),
+        F.max(F.when((kind == S.UPDATE) & live, F.struct("_since", at.alias("at"), patch.alias("row")))).alias("_upd"),
+    ).select(
+        *keys, "_ins",
+        F.when(F.col("_ins").isNull() | (F.col("_void") > F.col("_ins.at")), F.col("_void")).alias("_void"),
+        F.when(F.col("_upd").isNotNull() & F.col("_upd._since").eqNullSafe(F.col("_ins.at")),
+               F.struct("_upd.at", "_upd.row")).alias("_upd"))
+    return parts if width is None else _joined_stretches(parts)
+
+
+def _joined_stretches(parts: DataFrame) -> DataFrame:
+    """Stretches of each key, one after the other: a later insert starts anew, a void closes what comes after it."""
+    names = ["_ins", "_void", "_upd"]
+    kinds = {n: parts.schema[n].dataType for n in names}
+    nothing = F.struct(*[F.lit(None).cast(kinds[n]).alias(n) for n in names])
+
+    def follow(held: Column, part: Column) -> Column:
+        update = F.when(held["_void"].isNotNull(), held["_upd"]).otherwise(F.coalesce(part["_upd"], held["_upd"]))
+        going_on = F.struct(
+            held["_ins"].alias("_ins"), F.coalesce(held["_void"], part["_void"]).alias("_void"), update.alias("_upd"))
+        return F.when(part["_ins"].isNotNull(), F.struct(*[part[n].alias(n) for n in names])).otherwise(going_on)
+
+    stretches = F.array_sort(F.collect_list(F.struct("_stretch", *names)))
+    return parts.groupBy(S.KEY).agg(F.aggregate(stretches, nothing, follow).alias("_left")).select(S.KEY, "_left.*")
+
+
+def direct_apply(target: DataFrame, rows: DataFrame, op: str, order: Sequence[str], as_of: Stamp,
+                 width: int | None = None) -> DataFrame:
     """Write source rows (event type in ``op``) to the destination without a journal.
 
     An insert writes the whole row. An update changes status, defect code and source time, of live rows
     only. A void flags the row. Updates and voids of absent keys do nothing.
     """
     now = stamp(as_of)
-    tick = settle(rows, op, order).withColumnRenamed(S.KEY, "_key")
+    tick = settle(rows, op, order, width).withColumnRenamed(S.KEY, "_key")
     joined = target.withColumn("_t", F.lit(True)).join(tick, F.col(S.KEY) == F.col("_key"), "full_outer")
     written, voided = F.col("_ins").isNotNull(), F.col("_void").isNotNull()
     joined = joined.where(F.col("_t").isNotNull() | written)

@@ -16,16 +16,18 @@ from lineside.session import local_rows
 
 # The objects of the pipeline, in the order they are built.
 EXPECTED = (
-    (1, "Part 1", "RAW", "QUALITY_INSPECTIONS", "table"),
-    (2, "Part 1", "RAW", "STATION_TELEMETRY", "table"),
-    (9, "Part 1", "RAW", "SIMULATOR_CONTROL", "table"),
-    (3, "Part 1", "RAW", "QUALITY_INSPECTIONS_JOURNAL", "journal"),
-    (4, "Part 3", "ANALYTICS", "INSPECTIONS_ACTIVE", "derived"),
-    (5, "Part 3", "ANALYTICS", "STATION_HEALTH", "derived"),
-    (6, "Part 3", "ANALYTICS", "YIELD_BY_LINE_5MIN", "derived"),
-    (7, "Part 3", "ANALYTICS", "DEFECT_COUNTS_5MIN", "derived"),
-    (8, "Part 4", "ANALYTICS", "PLANT_FLOOR", "metric view"),
+    (1, "Part 1", "RAW", "QUALITY_INSPECTIONS", "table", "current state, kept by the merge"),
+    (2, "Part 1", "RAW", "STATION_TELEMETRY", "table", "sensor readings as they arrive"),
+    (9, "Part 1", "RAW", "SIMULATOR_CONTROL", "table", "control modes of the feeds"),
+    (3, "Part 1", "RAW", "QUALITY_INSPECTIONS_JOURNAL", "journal", "change events"),
+    (4, "Part 3", "ANALYTICS", "INSPECTIONS_ACTIVE", "derived", "live inspections"),
+    (5, "Part 3", "ANALYTICS", "STATION_HEALTH", "derived", "readings rolled up per 5 minutes"),
+    (6, "Part 3", "ANALYTICS", "YIELD_BY_LINE_5MIN", "derived", "yield joined with humidity"),
+    (7, "Part 3", "ANALYTICS", "DEFECT_COUNTS_5MIN", "derived", "counts per defect code"),
+    (8, "Part 4", "ANALYTICS", "PLANT_FLOOR", "metric view", "what questions are asked of"),
 )
+EXPECTED_COLUMNS = S.fields(
+    seq=S.INT, part=S.STRING, schema_name=S.STRING, object_name=S.STRING, kind=S.STRING, what_it_is=S.STRING)
 
 
 def built_objects(frames: Mapping[tuple[str, str], DataFrame | None]) -> DataFrame:
@@ -39,17 +41,28 @@ def built_objects(frames: Mapping[tuple[str, str], DataFrame | None]) -> DataFra
     ])
 
 
+def _found(expected: str, built: str) -> Column:
+    """Same schema and name; a journal, whose name ends in what its connector chose, by the start of its name."""
+    name = F.col(f"{built}.object_name")
+    by_name = (name == F.col(f"{expected}.object_name")) | (
+        (F.col(f"{expected}.kind") == "journal") & name.startswith(F.col(f"{expected}.object_name")))
+    return (F.col(f"{built}.schema_name") == F.col(f"{expected}.schema_name")) & by_name
+
+
 def pipeline_inventory(spark: SparkSession, built: DataFrame, expected: Sequence[tuple] = EXPECTED) -> DataFrame:
-    """Expected objects and whether they exist; a journal is matched by the start of its name."""
-    wanted = local_rows(spark, expected, S.fields(seq=S.INT, part=S.STRING, schema_name=S.STRING, object_name=S.STRING, kind=S.STRING)).alias("e")
-    b = built.alias("b")
-    by_name = (F.col("b.object_name") == F.col("e.object_name")) | (
-        (F.col("e.kind") == "journal") & F.col("b.object_name").startswith(F.col("e.object_name")))
-    on = (F.col("b.schema_name") == F.col("e.schema_name")) & by_name
-    return wanted.join(b, on, "left").select(
+    """Expected objects, whether they exist, how many rows they have and what they are.
+
+    ``built`` has schema_name, object_name and row_count; a comment on the object itself (``what_it_is``), if there is one, goes before
+    the expected one.
+    """
+    wanted = local_rows(spark, expected, EXPECTED_COLUMNS).alias("e")
+    if "what_it_is" not in built.columns:
+        built = built.withColumn("what_it_is", F.lit(None).cast("string"))
+    return wanted.join(built.alias("b"), _found("e", "b"), "left").select(
         "e.seq", "e.part", "e.object_name", "e.kind",
         F.when(F.col("b.object_name").isNotNull(), "built").otherwise("-- NOT YET --").alias("status"),
         F.col("b.row_count").alias("approx_rows"),
+        F.coalesce("b.what_it_is", "e.what_it_is").alias("what_it_is"),
     ).orderBy("seq")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineside import schemas as S
@@ -38,24 +38,29 @@ def event_mix(journal: DataFrame) -> DataFrame:
     return journal.groupBy("EVENT_TYPE").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "EVENT_TYPE")
 
 
-def merge_backlog(journal: DataFrame, destination: DataFrame, merged_position: int | F.Column) -> DataFrame:
-    """Journal inserts against destination rows, and whether events past the last merge are waiting."""
+def merge_backlog(journal: DataFrame, destination: DataFrame, merged_position: Column | tuple[int, int]) -> DataFrame:
+    """Journal inserts against destination rows, and whether events past the last merge are waiting.
+
+    ``merged_position`` is the (most, least) significant pair of the last merged event: events are ordered by both.
+    """
     counts = journal.agg(
         F.count_if(F.col("EVENT_TYPE") == S.INSERT).alias("n"),
-        F.max(S.LEAST).alias("newest"),
+        F.max(F.struct(*S.POSITION)).alias("newest"),
     )
-    merged = F.lit(merged_position) if isinstance(merged_position, int) else merged_position
+    if isinstance(merged_position, tuple):
+        merged_position = F.struct(*[F.lit(p).cast("bigint").alias(n) for p, n in zip(merged_position, S.POSITION)])
     rows = destination.agg(F.count("*").alias("n"))
     return journal.sparkSession.range(1).select(
         counts.select("n").scalar().alias("journal_inserts"),
         rows.scalar().alias("destination_rows"),
         counts.select("newest").scalar().alias("_newest"),
-        merged.alias("_merged"),
+        merged_position.alias("_merged"),
     ).select(
         "journal_inserts",
         "destination_rows",
         (F.col("journal_inserts") - F.col("destination_rows")).alias("awaiting_merge"),
-        F.coalesce(F.col("_newest") > F.coalesce("_merged", F.lit(-1)), F.lit(False)).alias("stream_has_pending"),
+        F.coalesce(F.col("_merged").isNull() & F.col("_newest").isNotNull() | (F.col("_newest") > F.col("_merged")), F.lit(False))
+        .alias("stream_has_pending"),
     )
 
 

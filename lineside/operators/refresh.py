@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lineside import schemas as S
+from lineside.functions import bucket
+from lineside.operators.cdc import data_events
+
 
 def same(left: str, right: str, keys: Sequence[str]) -> Column:
     """Null-safe equality of two aliases on ``keys``."""
@@ -85,3 +89,44 @@ def restated(old: DataFrame, new: DataFrame, grain: Sequence[str], values: Seque
         *[(F.col(f"_new.{v}") - F.col(f"_old.{v}")).alias(f"CHANGE_{v}") for v in values],
         kind.alias("CHANGE"),
     )
+
+
+def gate_values(journal: DataFrame, gate: Column, width: int = 5) -> DataFrame:
+    """Units and scrap of each line and bucket after every gate that changed them, straight from the journal.
+
+    A key's newest event in a gate holds until its next one, so each version is counted in at its gate and out at the gate of the
+    one after it. The signed counts of a gate add up, and their running sums are what folding the journal up to that gate
+    gives, for all gates in one pass. Keys that are rewritten go through ``cdc.split_key_changes`` first. A key has one row per gate
+    however many events it has, and a bucket one per gate.
+    """
+    carried = [S.payload(c) for c in ("LINE", "STATUS", "EVENT_TS")]
+    newest = F.max(F.struct(*S.POSITION, "EVENT_TYPE", *carried)).alias("_newest")
+    versions = data_events(journal).groupBy(S.PK, gate.alias("GATE")).agg(newest).select(S.PK, "GATE", "_newest.*")
+    placed = versions.withColumn("BUCKET", bucket(S.payload("EVENT_TS"), width)).withColumn("_now", F.when(
+        F.col("EVENT_TYPE") != S.DELETE, F.struct(
+            F.col(S.payload("LINE")).alias("LINE"), "BUCKET",
+            F.when(F.col(S.payload("STATUS")) == "FAIL", 1).otherwise(0).alias("SCRAP"))))
+    held = placed.withColumn("_before", F.lag("_now").over(Window.partitionBy(S.PK).orderBy("GATE")))
+    images = F.array(
+        F.when(F.col("_before").isNotNull(), F.struct(F.lit(-1).alias("_sign"), F.col("_before").alias("_row"))),
+        F.when(F.col("_now").isNotNull(), F.struct(F.lit(1).alias("_sign"), F.col("_now").alias("_row"))))
+    changed = held.select("GATE", F.explode(F.array_compact(images)).alias("_i")).groupBy("_i._row.LINE", "_i._row.BUCKET", "GATE").agg(
+        F.sum("_i._sign").alias("UNITS"), F.sum(F.col("_i._sign") * F.col("_i._row.SCRAP")).alias("SCRAP_UNITS"))
+    so_far = Window.partitionBy("LINE", "BUCKET").orderBy("GATE").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return changed.where("UNITS <> 0 OR SCRAP_UNITS <> 0").select(
+        "LINE", "BUCKET", "GATE", F.sum("UNITS").over(so_far).alias("UNITS"), F.sum("SCRAP_UNITS").over(so_far).alias("SCRAP_UNITS"))
+
+
+def restatements(values: DataFrame) -> DataFrame:
+    """How often and when each bucket was restated: ``values`` are those of ``gate_values``.
+
+    The first gate reports a bucket; every later one that changed it restates it. A bucket that lost its last unit has been removed.
+    """
+    def end(pick, column: str) -> Column:
+        return pick(column, "GATE")
+
+    return values.groupBy("LINE", "BUCKET").agg(
+        F.min("GATE").alias("FIRST_GATE"), F.max("GATE").alias("LAST_GATE"), (F.count("*") - 1).alias("RESTATED"),
+        end(F.min_by, "UNITS").alias("FIRST_UNITS"), end(F.max_by, "UNITS").alias("LAST_UNITS"),
+        end(F.min_by, "SCRAP_UNITS").alias("FIRST_SCRAP_UNITS"), end(F.max_by, "SCRAP_UNITS").alias("LAST_SCRAP_UNITS"),
+    ).withColumn("REMOVED", F.col("LAST_UNITS") == 0)

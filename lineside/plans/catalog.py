@@ -21,8 +21,8 @@ from lineside.operators import journal as inspect
 from lineside.plans import feeds
 from lineside.plans.compared import AVERAGES, DECIMALS
 from lineside.session import local_rows, shared_dir
-from lineside.sources import tables
-from lineside.streaming import landing, merging, pipeline, rollup
+from lineside.sources import eventlog, stored, tables
+from lineside.streaming import landing, merging, pipeline, rollup, watch
 from lineside.streaming.parts import PartedTable, RunLog, hash_part
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -337,7 +337,7 @@ def event_mix(spark: SparkSession, d: str) -> DataFrame:
 def merge_backlog(spark: SparkSession, d: str) -> DataFrame:
     feed = feeds.journal(spark, d)
     first = feeds.halves(feed)[0]
-    merged = first.agg(F.max(S.LEAST)).scalar()
+    merged = first.agg(F.max(F.struct(*S.POSITION))).scalar()
     return inspect.merge_backlog(feed, cdc.settled(first, feeds.seen_by(first)), merged)
 
 
@@ -356,6 +356,27 @@ def merge_audit(spark: SparkSession, d: str) -> DataFrame:
     return inspect.merge_audit(feeds.statement_history(spark, d), MERGE_TAG)
 
 
+@query
+def merge_audit_run(spark: SparkSession, d: str) -> DataFrame:
+    """Merges that run here and now, found again in Spark's event log by their tag; another statement stands between them."""
+    base = shared_dir(spark, "audit")
+    events = feeds.events(spark, d)
+    with eventlog.recorded(spark, f"{base}/log") as log:
+        for step in landing.land_in_steps(events, f"{base}/events", "event_id", STEPS):
+            landed = spark.read.schema(feeds.EVENTS).option("basePath", f"{base}/events").parquet(f"{base}/events/step=*")
+            feed = feeds.journal_of(landed.where(F.col("step") == step))
+            newest = cdc.newest_rows(feed)
+            before = feeds.journal_of(landed.where(F.col("step") < step))
+            held = cdc.settled(before, feeds.seen_by(before))
+            now = feeds.seen_by(feed)
+            merged = cdc.apply_newest(held, newest, now).where(F.col("_updated_at") == now)
+            with eventlog.tagged(spark, MERGE_TAG, operation=f"cdc.merge.{step}", strategy="full_values"):
+                merged.write.parquet(f"{base}/changed/step={step}")
+    audit = inspect.merge_audit(eventlog.statements(spark, log), MERGE_TAG)
+    return audit.select(
+        "query_type", "rows_affected", "connector_operation", "merge_strategy", (F.col("merge_seconds") >= 0).alias("timed"))
+
+
 # --- derived tables -------------------------------------------------------------------------------
 
 @query
@@ -416,8 +437,66 @@ def _versions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return refine.active(held), refine.active(merged)
 
 
+GATE = 122  # events of the last gate
+
+
+def refresh_base(spark: SparkSession, d: str) -> str:
+    """A database with live inspections, readings and hourly yield of all but the last gate, each stored by day."""
+    base = shared_dir(spark, "plant")
+    name = "plant_" + base.rsplit("-", 1)[1]
+    stored.open_database(spark, name, f"{base}/tables")
+    before = _before_gate(spark, d)
+    feed = feeds.journal_of(before)
+    live = refine.active(cdc.settled(feed, feeds.seen_by(feed), columns=(S.KEY, *_NARROW)))
+    stored.publish(live, f"{name}.INSPECTIONS_ACTIVE", "live inspections", at="EVENT_TS")
+    stored.publish(feeds.telemetry_of(before), f"{name}.STATION_TELEMETRY", "readings", at="EVENT_TS")
+    gold = _stored_yield(spark.table(f"{name}.INSPECTIONS_ACTIVE"), spark.table(f"{name}.STATION_TELEMETRY"))
+    stored.publish(gold, f"{name}.YIELD_BY_LINE", "yield joined with humidity", at="BUCKET")
+    return name
+
+
+def _gate_cut(spark: SparkSession, d: str) -> Column:
+    return feeds.newest(feeds.events(spark, d), "event_id") - GATE
+
+
+def _before_gate(spark: SparkSession, d: str) -> DataFrame:
+    return feeds.events(spark, d).where(F.col("event_id") <= _gate_cut(spark, d))
+
+
+def _stored_yield(live: DataFrame, readings: DataFrame) -> DataFrame:
+    return refine.yield_by_line(live, refine.station_health(readings, HOUR), HOUR)
+
+
+def refresh_stored(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """Bring the stored yield up to date with the last gate: days without a changed row are neither read nor written."""
+    arrived = feeds.events(spark, d).where(F.col("event_id") > _gate_cut(spark, d))
+    live, readings, gold = (f"{name}.{t}" for t in ("INSPECTIONS_ACTIVE", "STATION_TELEMETRY", "YIELD_BY_LINE"))
+    newest = cdc.newest_rows(feeds.journal_of(arrived), columns=(S.KEY, *_NARROW))
+    keys = newest.select(F.col(S.PK).alias(S.KEY))
+    before = spark.table(live).join(keys, S.KEY, "left_semi").select(S.KEY, stored.DAY)
+    columns = spark.table(live).columns
+    after = refine.active(cdc.settled(feeds.journal_of(arrived), F.lit(None).cast("timestamp_ntz"), columns=(S.KEY, *_NARROW)))
+    after = after.withColumn(stored.DAY, stored.day_of("EVENT_TS")).select(*columns)
+    new = feeds.telemetry_of(arrived).withColumn(stored.DAY, stored.day_of("EVENT_TS"))
+    # The gate's days are needed after the table has changed under them: they are written first.
+    path = f"{shared_dir(spark, 'days')}/days"
+    stored.days_touched(before, after, new).write.parquet(path)
+    days = spark.read.parquet(path)
+    new.select(*spark.table(readings).columns).write.insertInto(readings)
+    emptied = stored.merge_days(live, S.KEY, before, after)[1]
+    fresh = _stored_yield(stored.read_days(spark, live, days), stored.read_days(spark, readings, days))
+    stored.replace_days(fresh.withColumn(stored.DAY, stored.day_of("BUCKET")), gold, emptied)
+    return spark.table(gold).drop(stored.DAY)
+
+
 @query
 def incremental_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """Yield stored by day for all but the last gate, then brought up to date by that gate."""
+    return refresh_stored(spark, d, refresh_base(spark, d))
+
+
+@query
+def incremental_refresh_groups(spark: SparkSession, d: str) -> DataFrame:
     """Yield of the first half, brought up to date by recomputing the changed groups only."""
     old, new = _versions(spark, d)
     groups = {"LINE": F.col("LINE"), "BUCKET": bucket("EVENT_TS", HOUR)}
@@ -444,6 +523,24 @@ def restated_buckets(spark: SparkSession, d: str) -> DataFrame:
     return refresh.restated(*tables_, ["LINE", "BUCKET"], ["UNITS", "SCRAP_UNITS", "FIRST_PASS_YIELD_PCT"])
 
 
+GATE_WIDTH = 1_000_000  # log positions of one gate
+
+
+def _gates(spark: SparkSession, d: str) -> DataFrame:
+    return refresh.gate_values(feeds.journal(spark, d), F.floor(F.col(S.MOST) / GATE_WIDTH), HOUR)
+
+
+@query
+def gate_values(spark: SparkSession, d: str) -> DataFrame:
+    """Units and scrap of each bucket after every gate that changed it."""
+    return _gates(spark, d)
+
+
+@query
+def restatements(spark: SparkSession, d: str) -> DataFrame:
+    return refresh.restatements(_gates(spark, d))
+
+
 def _pipeline(spark: SparkSession, d: str, name: str, steps: int = STEPS) -> pipeline.Plant:
     plants: dict[str, pipeline.Plant] = {}
 
@@ -513,6 +610,48 @@ def gold_lag(spark: SparkSession, d: str) -> DataFrame:
     return serve.gold_lag(feeds.refresh_events(spark, d), _now(spark, d), ["YIELD_BY_LINE_5MIN", "DEFECT_COUNTS_5MIN"])
 
 
+def _refresh_log(spark: SparkSession, d: str) -> DataFrame:
+    """Two gold streams over three steps; the second one fails on the last step, where its rows break a check."""
+    base = shared_dir(spark, "refreshes")
+    events = feeds.events(spark, d)
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    last_step = low + (STEPS - 1) * ((high - low) // STEPS + 1) if low is not None else 0
+    listener = watch.RefreshListener(spark, f"{base}/log")
+    spark.streams.addListener(listener)
+
+    def stream(name: str, rows: DataFrame) -> StreamingQuery:
+        def put(batch: DataFrame, batch_id: int) -> None:
+            gold = batch.groupBy("LINE", bucket("EVENT_TS", HOUR).alias("BUCKET")).agg(F.count("*").alias("N"))
+            gold.write.mode("overwrite").parquet(f"{base}/{name}/batch={batch_id}")
+
+        return (watch.watched(rows, "EVENT_TS").writeStream.queryName(name).foreachBatch(put)
+                .option("checkpointLocation", f"{base}/checkpoint-{name}").trigger(availableNow=True).start())
+
+    try:
+        for _ in landing.land_in_steps(events, f"{base}/events", "event_id", STEPS):
+            arriving = spark.readStream.schema(feeds.EVENTS).parquet(f"{base}/events")
+            broken = F.when(F.col("event_id") >= last_step, F.raise_error(F.lit("reading out of range")).cast("double"))
+            rows = feeds.inspections(arriving).select("LINE", "EVENT_TS")
+            checked = feeds.inspections(arriving.withColumn("value", F.coalesce(broken, "value")).where("value IS NOT NULL"))
+            for name, source in (("YIELD_BY_LINE_5MIN", rows), ("DEFECT_COUNTS_5MIN", checked.select("LINE", "EVENT_TS"))):
+                listener.drained(stream(name, source))
+    finally:
+        spark.streams.removeListener(listener)
+    listener.flush()
+    return listener.read()
+
+
+@query
+def refresh_report(spark: SparkSession, d: str) -> DataFrame:
+    """Refreshes, failures and lag of two gold streams that run here, from what Spark's listener was told."""
+    return watch.refresh_report(_refresh_log(spark, d), _now(spark, d))
+
+
+@query
+def gold_lag_run(spark: SparkSession, d: str) -> DataFrame:
+    return serve.gold_lag(_refresh_log(spark, d), _now(spark, d), ["YIELD_BY_LINE_5MIN", "DEFECT_COUNTS_5MIN"])
+
+
 @query
 def metric_query(spark: SparkSession, d: str) -> DataFrame:
     """Metrics of three tables by two hub dimensions, named by their synonyms."""
@@ -587,6 +726,17 @@ def cause_order(spark: SparkSession, d: str) -> DataFrame:
     return analyst.cause_order(frames["yield"], frames["defects"])
 
 
+@query
+def incidents(spark: SparkSession, d: str) -> DataFrame:
+    frames = _frames(spark, d)
+    return analyst.incidents(frames["yield"], frames["defects"])
+
+
+@query
+def yield_compare_nearest(spark: SparkSession, d: str) -> DataFrame:
+    return analyst.yield_compare_nearest(_yield(spark, d), back=20, tolerance=120)
+
+
 @query
 def yield_compare(spark: SparkSession, d: str) -> DataFrame:
     return analyst.yield_compare(_yield(spark, d), back=20)
@@ -604,18 +754,30 @@ def control_compare(spark: SparkSession, d: str) -> DataFrame:
 
 # --- checks ---------------------------------------------------------------------------------------
 
+JOURNAL_TABLE = "QUALITY_INSPECTIONS_JOURNAL_1787700000_1"  # fixed value: a journal's name as its connector makes it
+
+
 @query
 def pipeline_inventory(spark: SparkSession, d: str) -> DataFrame:
-    built = checks.built_objects({
-        ("RAW", "QUALITY_INSPECTIONS"): _state(spark, d, (S.KEY,)),
-        ("RAW", "QUALITY_INSPECTIONS_JOURNAL_1787700000_1"): feeds.journal(spark, d),
-        ("RAW", "STATION_TELEMETRY"): feeds.telemetry(spark, d),
-        ("ANALYTICS", "INSPECTIONS_ACTIVE"): _live(spark, d),
-        ("ANALYTICS", "STATION_HEALTH"): _health(spark, d),
-        ("ANALYTICS", "YIELD_BY_LINE_5MIN"): _yield(spark, d),
-        ("ANALYTICS", "PLANT_FLOOR"): None,
-    })
-    return checks.pipeline_inventory(spark, built)
+    """Tables and a view are put into the catalog, counted by their statistics, and found there again."""
+    base = shared_dir(spark, "inventory")
+    shown = {name: f"{name.lower()}_{base.rsplit('-', 1)[1]}" for name in ("RAW", "ANALYTICS")}
+    for name in shown.values():
+        stored.open_database(spark, name, f"{base}/{name}")
+    raw, analytics = shown.values()
+    frames = {
+        f"{raw}.QUALITY_INSPECTIONS": (_state(spark, d, (S.KEY,)), ""),
+        f"{raw}.{JOURNAL_TABLE}": (feeds.journal(spark, d), ""),
+        f"{raw}.STATION_TELEMETRY": (feeds.telemetry(spark, d), "readings of all stations"),
+        f"{analytics}.INSPECTIONS_ACTIVE": (_live(spark, d), ""),
+        f"{analytics}.STATION_HEALTH": (_health(spark, d), ""),
+        f"{analytics}.YIELD_BY_LINE_5MIN": (_yield(spark, d), ""),
+    }
+    for table, (frame, what_it_is) in frames.items():
+        stored.publish(frame, table, what_it_is)
+        stored.count_rows(spark, table)
+    spark.sql(f"CREATE VIEW {analytics}.PLANT_FLOOR AS SELECT * FROM {analytics}.YIELD_BY_LINE_5MIN")
+    return checks.pipeline_inventory(spark, stored.catalog_objects(spark, shown))
 
 
 @query

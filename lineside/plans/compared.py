@@ -3,7 +3,7 @@ never the readings, are rounded to nine decimals here and in the SQL."""
 
 AVERAGES = {
     **dict.fromkeys(("station_health", "station_health_stream", "station_health_stateful"), ["AVG_VALUE"]),
-    **dict.fromkeys(("yield_by_line", "yield_by_line_hour", "incremental_refresh", "pipeline_stream",
+    **dict.fromkeys(("yield_by_line", "yield_by_line_hour", "incremental_refresh", "incremental_refresh_groups", "pipeline_stream",
                      "latest_buckets", "humidity_alerts"), ["AVG_BOOTH_HUMIDITY"]),
     **dict.fromkeys(("yield_series", "yield_series_day"), ["avg_booth_humidity"]),
     "series_long": ["value"],

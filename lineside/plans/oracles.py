@@ -300,21 +300,22 @@ def _contract() -> str:
 
 def _inventory() -> str:
     counts = [
-        (1, "Part 1", "QUALITY_INSPECTIONS", "table", "settled"),
-        (2, "Part 1", "STATION_TELEMETRY", "table", "telemetry"),
-        (9, "Part 1", "SIMULATOR_CONTROL", "table", None),
-        (3, "Part 1", "QUALITY_INSPECTIONS_JOURNAL", "journal", "journal"),
-        (4, "Part 3", "INSPECTIONS_ACTIVE", "derived", "live"),
-        (5, "Part 3", "STATION_HEALTH", "derived", "health"),
-        (6, "Part 3", "YIELD_BY_LINE_5MIN", "derived", "yields"),
-        (7, "Part 3", "DEFECT_COUNTS_5MIN", "derived", None),
-        (8, "Part 4", "PLANT_FLOOR", "metric view", ""),
+        (1, "Part 1", "QUALITY_INSPECTIONS", "table", "settled", "current state, kept by the merge"),
+        (2, "Part 1", "STATION_TELEMETRY", "table", "telemetry", "readings of all stations"),
+        (9, "Part 1", "SIMULATOR_CONTROL", "table", None, "control modes of the feeds"),
+        (3, "Part 1", "QUALITY_INSPECTIONS_JOURNAL", "journal", "journal", "change events"),
+        (4, "Part 3", "INSPECTIONS_ACTIVE", "derived", "live", "live inspections"),
+        (5, "Part 3", "STATION_HEALTH", "derived", "health", "readings rolled up per 5 minutes"),
+        (6, "Part 3", "YIELD_BY_LINE_5MIN", "derived", "yields", "yield joined with humidity"),
+        (7, "Part 3", "DEFECT_COUNTS_5MIN", "derived", None, "counts per defect code"),
+        (8, "Part 4", "PLANT_FLOOR", "metric view", "", "what questions are asked of"),
     ]
     rows = [
         f"SELECT {seq} AS seq, '{part}' AS part, '{name}' AS object_name, '{kind}' AS kind, "
         f"'{'-- NOT YET --' if source is None else 'built'}' AS status, "
-        + (f"(SELECT count(*) FROM {source})" if source else "CAST(NULL AS BIGINT)") + " AS approx_rows"
-        for seq, part, name, kind, source in counts]
+        + (f"(SELECT count(*) FROM {source})" if source else "CAST(NULL AS BIGINT)")
+        + f" AS approx_rows, '{what}' AS what_it_is"
+        for seq, part, name, kind, source, what in counts]
     return _gold("\nUNION ALL ".join(rows))
 
 
@@ -348,6 +349,53 @@ operations AS (
     {_list(*[f"CASE WHEN OP <> '{D}' THEN {c} END AS {c}" for c in S.SOURCE_COLUMNS if c != S.KEY])}
   FROM inspections)"""
 
+def _gates(final: str) -> str:
+    """Every key's state after each gate that changed it, and from these each bucket's counts as of each gate."""
+    return f"""WITH {_journal()},
+version AS (
+  SELECT {PK} AS k, {MOST} // 1000000 AS GATE, EVENT_TYPE, PAYLOAD__LINE AS LINE, {_bucket('PAYLOAD__EVENT_TS', HOUR)} AS BUCKET,
+    CAST(PAYLOAD__STATUS = 'FAIL' AS INTEGER) AS sc
+  FROM journal WHERE EVENT_TYPE IN ('{I}', '{U}', '{D}')
+  QUALIFY row_number() OVER (PARTITION BY {PK}, {MOST} // 1000000 ORDER BY {MOST} DESC, {LEAST} DESC) = 1),
+spell AS (
+  SELECT *, lead(GATE) OVER (PARTITION BY k ORDER BY GATE) AS until FROM version),
+edge AS (
+  SELECT LINE, BUCKET, GATE, 1 AS u, sc AS s FROM spell WHERE EVENT_TYPE <> '{D}'
+  UNION ALL SELECT LINE, BUCKET, until, -1, -sc FROM spell WHERE EVENT_TYPE <> '{D}' AND until IS NOT NULL),
+moved AS (
+  SELECT LINE, BUCKET, GATE, sum(u) AS u, sum(s) AS s FROM edge GROUP BY 1, 2, 3 HAVING sum(u) <> 0 OR sum(s) <> 0),
+gate_value AS (
+  SELECT LINE, BUCKET, GATE,
+    CAST(sum(u) OVER w AS BIGINT) AS UNITS, CAST(sum(s) OVER w AS BIGINT) AS SCRAP_UNITS
+  FROM moved WINDOW w AS (PARTITION BY LINE, BUCKET ORDER BY GATE))
+{final}"""
+
+
+_RAN = """
+FROM (SELECT *, (event_id - low) // ((high - low) // 3 + 1) AS step
+      FROM events, (SELECT min(event_id) AS low, max(event_id) AS high FROM events))"""
+_REFRESHES = f"""
+SELECT 'YIELD_BY_LINE_5MIN' AS name, count(DISTINCT step) AS succeeded, CAST(0 AS BIGINT) AS failed, max(ts) AS newest_data {_RAN}
+UNION ALL
+SELECT 'DEFECT_COUNTS_5MIN', count(DISTINCT step) FILTER (step < 2), count(DISTINCT step) FILTER (step = 2),
+  max(ts) FILTER (step < 2) {_RAN}"""
+_INCIDENTS = f"""
+signal AS (
+  SELECT coalesce(y.LINE, c.LINE) AS LINE, coalesce(y.BUCKET, c.BUCKET) AS BUCKET, coalesce(AVG_BOOTH_HUMIDITY > 60, false) AS h,
+    coalesce(n >= 1, false) AS d, coalesce(FIRST_PASS_YIELD_PCT < 90, false) AS y
+  FROM yields y FULL JOIN (
+    SELECT LINE, BUCKET, sum(N) AS n FROM defects WHERE DEFECT_CODE <> 'NONE' GROUP BY 1, 2) c
+    ON c.LINE = y.LINE AND c.BUCKET = y.BUCKET),
+apart AS (
+  SELECT *, coalesce(BUCKET - lag(BUCKET) OVER (PARTITION BY LINE ORDER BY BUCKET) > INTERVAL '10 minutes', true) AS begins
+  FROM signal WHERE BUCKET IS NOT NULL AND (h OR d OR y)),
+island AS (
+  SELECT *, CAST(sum(CAST(begins AS INTEGER)) OVER (PARTITION BY LINE ORDER BY BUCKET) AS BIGINT) AS INCIDENT FROM apart),
+incident AS (
+  SELECT LINE, INCIDENT, min(BUCKET) AS STARTED_AT, max(BUCKET) + INTERVAL '5 minutes' AS ENDED_AT, count(*) AS BUCKETS,
+    min(BUCKET) FILTER (h) AS HUMIDITY_AT, min(BUCKET) FILTER (d) AS DEFECTS_AT, min(BUCKET) FILTER (y) AS YIELD_AT
+  FROM island GROUP BY 1, 2)"""
+
 ORACLES: dict[str, str] = {
     # sources and sinks
     "journal_read": _feed("SELECT * FROM journal"),
@@ -420,7 +468,8 @@ SELECT {MOST}, {LEAST}, METADATA AS raw_variant, 'STRING' AS what_it_really_is,
 SELECT (SELECT count(*) FROM journal WHERE EVENT_TYPE = '{I}') AS journal_inserts,
   (SELECT count(*) FROM t1) AS destination_rows,
   (SELECT count(*) FROM journal WHERE EVENT_TYPE = '{I}') - (SELECT count(*) FROM t1) AS awaiting_merge,
-  EXISTS (SELECT 1 FROM journal WHERE {LEAST} > (SELECT max({LEAST}) FROM first_half)) AS stream_has_pending"""),
+  EXISTS (SELECT 1 FROM journal WHERE ({MOST}, {LEAST}) > (
+    SELECT ({MOST}, {LEAST}) FROM first_half ORDER BY {MOST} DESC, {LEAST} DESC LIMIT 1)) AS stream_has_pending"""),
     "deleted_rows": _state("""
 SELECT INSPECTION_ID, LINE, STATUS, DEFECT_CODE, _deleted, _inserted_at, _updated_at FROM t2 WHERE _deleted"""),
     "rewritten_rows": _state("""
@@ -431,6 +480,12 @@ SELECT strftime(ts, '%H:%M:%S') AS fired_at, 'MERGE' AS query_type, event_id AS
   CAST((CAST(round(value * 100) AS BIGINT) + 50) // 100 / 10.0 AS DECIMAL(18,1)) AS merge_seconds,
   'WH' AS warehouse_name, 'cdc.signup' AS connector_operation, 'full_values' AS merge_strategy
 FROM events WHERE event_type = 'signup' ORDER BY ts DESC, event_id DESC LIMIT 10""",
+    "merge_audit_run": _feed(f"""
+SELECT 'MERGE' AS query_type, count(DISTINCT old_id) AS rows_affected, concat('cdc.merge.', step) AS connector_operation,
+  'full_values' AS merge_strategy, true AS timed
+FROM (SELECT *, (event_id - low) // ((high - low) // 3 + 1) AS step
+      FROM keyed, (SELECT min(event_id) AS low, max(event_id) AS high FROM events))
+WHERE event_type IN ('error', 'signup', 'purchase', 'view', 'click') GROUP BY step"""),
     # derived tables
     "inspections_active": _gold(f"SELECT {_list(*S.SOURCE_COLUMNS)}, IS_SCRAP FROM live"),
     "station_health": _readings("SELECT * FROM health"),
@@ -441,6 +496,14 @@ FROM events WHERE event_type = 'signup' ORDER BY ts DESC, event_id DESC LIMIT 10
     "defect_counts": _gold("SELECT * FROM defects"),
     "defect_counts_day": _gold("SELECT * FROM defects", DAY),
     "incremental_refresh": f"WITH {_VERSIONS},{_health(HOUR)},{_yields(HOUR)}\nSELECT * FROM yields",
+    "incremental_refresh_groups": f"WITH {_VERSIONS},{_health(HOUR)},{_yields(HOUR)}\nSELECT * FROM yields",
+    "gate_values": _gates("SELECT LINE, BUCKET, GATE, UNITS, SCRAP_UNITS FROM gate_value"),
+    "restatements": _gates("""
+SELECT LINE, BUCKET, min(GATE) AS FIRST_GATE, max(GATE) AS LAST_GATE, count(*) - 1 AS RESTATED,
+  min_by(UNITS, GATE) AS FIRST_UNITS, max_by(UNITS, GATE) AS LAST_UNITS,
+  min_by(SCRAP_UNITS, GATE) AS FIRST_SCRAP_UNITS, max_by(SCRAP_UNITS, GATE) AS LAST_SCRAP_UNITS,
+  max_by(UNITS, GATE) = 0 AS REMOVED
+FROM gate_value GROUP BY 1, 2"""),
     "incremental_refresh_delta": f"WITH {_VERSIONS},{_defects(HOUR)}\nSELECT * FROM defects",
     "restated_buckets": f"WITH {_VERSIONS},{_health(DAY)},{_yields(DAY, 'old_y', 'old_live')},{_yields(DAY, 'new_y')}" + """
 SELECT coalesce(n.LINE, o.LINE) AS LINE, coalesce(n.BUCKET, o.BUCKET) AS BUCKET,
@@ -484,6 +547,8 @@ UNION ALL SELECT bucket, 'booth_humidity', avg_booth_humidity FROM series WHERE
 SELECT max({_seconds('data_ts', _NOW)}) AS lag_secs FROM (
   SELECT user_id % 4 AS name, max(ts) AS data_ts FROM events
   WHERE event_type <> 'error' AND user_id % 4 IN (2, 3) GROUP BY 1)""",
+    "refresh_report": f"SELECT *, {_seconds('newest_data', _NOW)} AS lag_secs FROM ({_REFRESHES})",
+    "gold_lag_run": f"SELECT max({_seconds('newest_data', _NOW)}) AS lag_secs FROM ({_REFRESHES})",
     "metric_query": _gold(f"""
 SELECT line, bucket, max(total_units) AS total_units, max(defect_count) AS defect_count,
   max(avg_reading) AS avg_reading, max(peak_reading) AS peak_reading
@@ -551,6 +616,17 @@ FROM (SELECT LINE, min(BUCKET) FILTER (WHERE AVG_BOOTH_HUMIDITY > 60) AS h,
         min(BUCKET) FILTER (WHERE FIRST_PASS_YIELD_PCT < 90) AS y FROM yields GROUP BY 1)
 LEFT JOIN (SELECT LINE, min(BUCKET) AS d FROM defects WHERE DEFECT_CODE <> 'NONE' AND N >= 1 GROUP BY 1) USING (LINE)
 """, HOUR),
+    "incidents": _gold(f"""
+SELECT *, {_seconds('HUMIDITY_AT', 'DEFECTS_AT')} AS DEFECTS_AFTER_SECS, {_seconds('HUMIDITY_AT', 'YIELD_AT')} AS YIELD_AFTER_SECS,
+  coalesce(HUMIDITY_AT <= DEFECTS_AT AND DEFECTS_AT <= YIELD_AT, false) AS ORDER_HOLDS FROM incident""", more=_INCIDENTS),
+    "yield_compare_nearest": _gold("""
+SELECT n.LINE, n.BUCKET, n.UNITS AS NOW_UNITS, n.FIRST_PASS_YIELD_PCT AS NOW_PCT, then_bucket AS THEN_BUCKET,
+  then_units AS THEN_UNITS, then_pct AS THEN_PCT, n.FIRST_PASS_YIELD_PCT - then_pct AS CHANGE_PCT
+FROM (
+  SELECT n.*, CASE WHEN t.BUCKET >= n.BUCKET - INTERVAL '140 minutes' THEN t.UNITS END AS then_units,
+    CASE WHEN t.BUCKET >= n.BUCKET - INTERVAL '140 minutes' THEN t.FIRST_PASS_YIELD_PCT END AS then_pct,
+    CASE WHEN t.BUCKET >= n.BUCKET - INTERVAL '140 minutes' THEN t.BUCKET END AS then_bucket
+  FROM yields n ASOF LEFT JOIN yields t ON t.LINE = n.LINE AND t.BUCKET <= n.BUCKET - INTERVAL '20 minutes') n"""),
     "yield_compare": _gold(_compare(20)),
     "yield_compare_day": _gold(_compare(DAY), HOUR),
     "control_compare": _gold(f"""

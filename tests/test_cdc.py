@@ -1,5 +1,6 @@
 """Folding and merging a change feed: one hand-made frame per rule."""
 
+import itertools
 from datetime import datetime, timedelta
 
 import pytest
@@ -162,3 +163,35 @@ def test_merge_into_a_catalog_table_resolves(spark, journal):
         cdc.merge_into_table(cdc.newest_rows(journal(("a", S.INSERT, 1, 1, {}))), "merge_target", F.lit(datetime(2026, 1, 1)))
     assert "MERGE" in str(error.value).upper() and "UNRESOLVED" not in str(error.value)
     spark.sql("DROP TABLE merge_target")
+
+
+@pytest.mark.parametrize("width", [None, 1, 2, 3])
+def test_a_tick_settles_as_its_events_do_one_after_the_other(spark, width):
+    """All sequences of up to five events: each key is one sequence."""
+    kinds = {"I": S.INSERT, "U": S.UPDATE, "D": S.DELETE}
+    sequences = ["".join(q) for n in range(1, 6) for q in itertools.product("IUD", repeat=n)]
+    fields = [c for c in S.SOURCE_COLUMNS if c not in (S.KEY, "STATUS")]
+    data = [(q, i, kinds[k], f"{k}{i}") for q in sequences for i, k in enumerate(q)]
+    rows = spark.createDataFrame(data, "INSPECTION_ID string, AT long, OP string, STATUS string").selectExpr(
+        "*", *[f"CAST(NULL AS {'timestamp_ntz' if c.endswith('_TS') else 'string'}) AS {c}" for c in fields])
+    got = {r[S.KEY]: (r["_ins"] and r["_ins"]["row"]["STATUS"], r["_void"] is not None, r["_upd"] and r["_upd"]["row"]["STATUS"])
+           for r in cdc.settle(rows, "OP", ["AT"], width).collect()}
+    want = {}
+    for q in sequences:
+        inserted, voided, update = None, False, None
+        for i, k in enumerate(q):
+            if k == "I":
+                inserted, voided, update = f"I{i}", False, None
+            elif k == "D":
+                voided = True
+            elif not voided:
+                update = f"U{i}"
+        want[q] = (inserted, voided, update)
+    assert got == want
+
+
+def test_a_tick_is_shuffled_once(spark):
+    rows = spark.createDataFrame([], "INSPECTION_ID string, AT long, OP string, STATUS string").selectExpr("*", *[
+        f"CAST(NULL AS {'timestamp_ntz' if c.endswith('_TS') else 'string'}) AS {c}" for c in S.SOURCE_COLUMNS if c not in (S.KEY, "STATUS")])
+    text = cdc.settle(rows, "OP", ["AT"])._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text

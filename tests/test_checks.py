@@ -100,9 +100,11 @@ def test_journal_inspection(journal):
     mix = inspect.event_mix(events.unionByName(journal(("k0", S.DELETE, 9, 99, {})))).collect()
     assert [tuple(r) for r in mix] == [(S.INSERT, 30), (S.DELETE, 1)]
     held = cdc.settled(events.where("LEAST_SIGNIFICANT_POSITION < 20"), NOON)
-    assert tuple(inspect.merge_backlog(events, held, 19).first()) == (30, 20, 10, True)
-    assert inspect.merge_backlog(events, held, 29).first().stream_has_pending is False
-    assert inspect.merge_backlog(events.limit(0), held, 29).first().stream_has_pending is False
+    assert tuple(inspect.merge_backlog(events, held, (3, 19)).first()) == (30, 20, 10, True)
+    assert inspect.merge_backlog(events, held, (5, 29)).first().stream_has_pending is False
+    # A later transaction waits even where its second number starts anew.
+    assert inspect.merge_backlog(events, held, (4, 99)).first().stream_has_pending is True
+    assert inspect.merge_backlog(events.limit(0), held, (5, 29)).first().stream_has_pending is False
 
 
 def test_metadata_is_a_string_until_it_is_parsed(frame):

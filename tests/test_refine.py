@@ -1,5 +1,6 @@
 """Derived tables, changed-group refresh and restatement on hand-made frames."""
 
+import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lineside import schemas as S
 from lineside.functions import bucket, epoch_seconds, percent, seconds_between
-from lineside.operators import refine, refresh
+from lineside.operators import analyst, cdc, refine, refresh
 
 
 def at(minute, second=0, micro=0):
@@ -167,3 +168,68 @@ def test_average_keeps_small_readings(frame):
     readings = frame(S.TELEMETRY, *[
         {"STATION_ID": "s", "LINE": "PAINT", "METRIC": "m", "EVENT_TS": NOON, "VALUE": 4e-7} for _ in range(2)])
     assert refine.station_health(readings).first()["AVG_VALUE"] == 4e-7
+
+
+# ---- every gate of the journal, incidents, nearest earlier bucket ----
+
+def test_gate_values_are_those_of_folding_each_prefix(spark, journal):
+    at = [NOON + timedelta(minutes=5 * i) for i in range(3)]
+    steps = [  # gate, key, kind, bucket, status
+        (0, "a", S.INSERT, 0, "PASS"), (0, "b", S.INSERT, 0, "FAIL"), (0, "a", S.UPDATE, 1, "PASS"),
+        (1, "a", S.UPDATE, 0, "FAIL"), (1, "c", S.DELETE, 0, "PASS"), (2, "b", S.DELETE, 0, "PASS"),
+        (2, "b", S.INSERT, 2, "PASS"), (4, "b", S.UPDATE, 2, "PASS"), (5, "a", S.DELETE, 0, "PASS"), (5, "c", S.INSERT, 1, "FAIL"),
+    ]
+    feed = [(key, kind, gate * 10, i, {"LINE": "PAINT", "STATUS": status, "EVENT_TS": at[b], S.KEY: key})
+            for i, (gate, key, kind, b, status) in enumerate(steps)]
+    events = journal(*feed)
+    values = refresh.gate_values(events, F.floor(F.col(S.MOST) / 10))
+    got = {(r.BUCKET, r.GATE): (r.UNITS, r.SCRAP_UNITS) for r in values.collect()}
+    want, before = {}, {}
+    for gate in range(6):
+        held = cdc.settled(events.where(F.col(S.MOST) <= gate * 10), NOON)
+        now = {r.BUCKET: (r.UNITS, r.SCRAP_UNITS) for r in refine.yield_parts(refine.active(held)).collect()}
+        for b in {*before, *now}:
+            if before.get(b, (0, 0)) != now.get(b, (0, 0)):
+                want[b, gate] = now.get(b, (0, 0))
+        before = now
+    assert got == want
+    told = {r.BUCKET: (r.FIRST_GATE, r.LAST_GATE, r.RESTATED, r.LAST_UNITS, r.REMOVED) for r in refresh.restatements(values).collect()}
+    assert told[at[0]] == (0, 5, 3, 0, True)
+
+
+def _gold(spark, rows):
+    return spark.createDataFrame(rows, "LINE string, BUCKET timestamp_ntz, UNITS int, FIRST_PASS_YIELD_PCT decimal(5,2), AVG_BOOTH_HUMIDITY double")
+
+
+def test_each_incident_has_its_own_start_end_and_order(spark):
+    def b(i):
+        return NOON + timedelta(minutes=5 * i)
+
+    def row(i, pct, humidity):
+        return ("PAINT", b(i), 10, Decimal(pct), humidity)
+
+    gold = _gold(spark, [row(0, "99", 70.0), row(1, "99", 50.0), row(2, "80", 50.0), row(3, "99", 50.0), row(4, "99", 50.0),
+                         row(5, "70", 50.0), row(6, "99", 80.0), ("WELD", b(6), 1, None, None)])
+    counts = spark.createDataFrame([("PAINT", b(1), "PAINT_RUN", 3), ("PAINT", b(3), "NONE", 9), ("PAINT", b(20), "PAINT_RUN", 1)],
+                                   "LINE string, BUCKET timestamp_ntz, DEFECT_CODE string, N int")
+    rows = {r.INCIDENT: r for r in analyst.incidents(gold, counts).collect()}
+    assert len(rows) == 3
+    assert (rows[1].STARTED_AT, rows[1].ENDED_AT, rows[1].BUCKETS) == (b(0), b(3), 3)
+    assert (rows[1].DEFECTS_AFTER_SECS, rows[1].YIELD_AFTER_SECS, rows[1].ORDER_HOLDS) == (300, 600, True)
+    assert (rows[2].STARTED_AT, rows[2].HUMIDITY_AT, rows[2].YIELD_AT, rows[2].ORDER_HOLDS) == (b(5), b(6), b(5), False)
+    assert (rows[3].STARTED_AT, rows[3].YIELD_AT) == (b(20), None)  # defects without a row of yield
+    assert len(analyst.incidents(gold, counts, quiet=2).collect()) == 2
+
+
+@pytest.mark.parametrize("back,tolerance", [(5, 0), (10, 5), (20, 60), (7, 13)])
+def test_nearest_earlier_bucket_by_brute_force(spark, back, tolerance):
+    rng = random.Random(back)
+    rows = [(line, NOON + timedelta(minutes=5 * i), i, Decimal(i % 100), None) for line in ("A", "B") for i in range(60) if rng.random() < 0.4]
+    gold = _gold(spark, rows + [("A", None, 1, None, None)])
+    got = {(r.LINE, r.BUCKET): (r.THEN_BUCKET, r.THEN_UNITS) for r in analyst.yield_compare_nearest(gold, back, tolerance).collect()}
+    want = {("A", None): (None, None)}
+    for line, at, *_ in rows:
+        span = (at - timedelta(minutes=back + tolerance), at - timedelta(minutes=back))
+        found = [(b, n) for l2, b, n, *_ in rows if l2 == line and span[0] <= b <= span[1]]
+        want[line, at] = max(found) if found else (None, None)
+    assert got == want
