@@ -440,59 +440,60 @@ def _versions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 GATE = 122  # events of the last gate
 
 
-def refresh_base(spark: SparkSession, d: str) -> str:
-    """A database with live inspections, readings and hourly yield of all but the last gate, each stored by day."""
+def _gate_cut(spark: SparkSession, d: str) -> Column:
+    return feeds.newest(feeds.events(spark, d), "event_id") - GATE
+
+
+def _changed(live: DataFrame, feed: DataFrame) -> DataFrame:
+    """Signed images of the live rows that a gate's events change: the held rows of its keys, and what they become."""
+    columns = (S.KEY, *_NARROW)
+    newest = cdc.newest_rows(feed, columns=columns)
+    before = live.join(newest.select(F.col(S.PK).alias(S.KEY)), S.KEY, "left_semi")
+    after = refine.active(cdc.settled(feed, F.lit(None).cast("timestamp_ntz"), columns=columns))
+    return refresh.signed(before, after.select(*live.columns))
+
+
+def refresh_base(spark: SparkSession, d: str) -> tuple[str, str]:
+    """What is stored before the last gate is refreshed: a database with hourly readings and yield by day, and the folder with
+    the gate's changed rows and new readings, as its merge leaves them."""
     base = shared_dir(spark, "plant")
     name = "plant_" + base.rsplit("-", 1)[1]
     stored.open_database(spark, name, f"{base}/tables")
-    before = _before_gate(spark, d)
-    feed = feeds.journal_of(before)
+    events, cut = feeds.events(spark, d), _gate_cut(spark, d)
+    old, arrived = events.where(F.col("event_id") <= cut), events.where(F.col("event_id") > cut)
+    feed = feeds.journal_of(old)
     live = refine.active(cdc.settled(feed, feeds.seen_by(feed), columns=(S.KEY, *_NARROW)))
-    stored.publish(live, f"{name}.INSPECTIONS_ACTIVE", "live inspections", at="EVENT_TS")
-    stored.publish(feeds.telemetry_of(before), f"{name}.STATION_TELEMETRY", "readings", at="EVENT_TS")
-    gold = _stored_yield(spark.table(f"{name}.INSPECTIONS_ACTIVE"), spark.table(f"{name}.STATION_TELEMETRY"))
+    parts = refine.health_parts(feeds.telemetry_of(old), HOUR)
+    stored.publish(parts, f"{name}.HEALTH_PARTS", "readings rolled up, as sums and counts", at="BUCKET")
+    gold = refine.yield_by_line(live, refine.health_table(parts), HOUR)
     stored.publish(gold, f"{name}.YIELD_BY_LINE", "yield joined with humidity", at="BUCKET")
-    return name
-
-
-def _gate_cut(spark: SparkSession, d: str) -> Column:
-    return feeds.newest(feeds.events(spark, d), "event_id") - GATE
-
-
-def _before_gate(spark: SparkSession, d: str) -> DataFrame:
-    return feeds.events(spark, d).where(F.col("event_id") <= _gate_cut(spark, d))
-
-
-def _stored_yield(live: DataFrame, readings: DataFrame) -> DataFrame:
-    return refine.yield_by_line(live, refine.station_health(readings, HOUR), HOUR)
-
-
-def refresh_stored(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """Bring the stored yield up to date with the last gate: days without a changed row are neither read nor written."""
-    arrived = feeds.events(spark, d).where(F.col("event_id") > _gate_cut(spark, d))
-    live, readings, gold = (f"{name}.{t}" for t in ("INSPECTIONS_ACTIVE", "STATION_TELEMETRY", "YIELD_BY_LINE"))
-    newest = cdc.newest_rows(feeds.journal_of(arrived), columns=(S.KEY, *_NARROW))
-    keys = newest.select(F.col(S.PK).alias(S.KEY))
-    before = spark.table(live).join(keys, S.KEY, "left_semi").select(S.KEY, stored.DAY)
-    columns = spark.table(live).columns
-    after = refine.active(cdc.settled(feeds.journal_of(arrived), F.lit(None).cast("timestamp_ntz"), columns=(S.KEY, *_NARROW)))
-    after = after.withColumn(stored.DAY, stored.day_of("EVENT_TS")).select(*columns)
-    new = feeds.telemetry_of(arrived).withColumn(stored.DAY, stored.day_of("EVENT_TS"))
-    # The gate's days are needed after the table has changed under them: they are written first.
-    path = f"{shared_dir(spark, 'days')}/days"
-    stored.days_touched(before, after, new).write.parquet(path)
-    days = spark.read.parquet(path)
-    new.select(*spark.table(readings).columns).write.insertInto(readings)
-    emptied = stored.merge_days(live, S.KEY, before, after)[1]
-    fresh = _stored_yield(stored.read_days(spark, live, days), stored.read_days(spark, readings, days))
-    stored.replace_days(fresh.withColumn(stored.DAY, stored.day_of("BUCKET")), gold, emptied)
+    _changed(live, feeds.journal_of(arrived)).write.parquet(f"{base}/gate/images")
+    feeds.telemetry_of(arrived).write.parquet(f"{base}/gate/readings")
+    return name, f"{base}/gate"
+
+
+def refresh_stored(spark: SparkSession, name: str, gate: str) -> DataFrame:
+    """Bring the stored yield up to date with one gate: days without a changed row or a new reading are neither read nor written.
+
+    Units and scrap take the signed counts of the changed rows, readings add up; the tables they came from are not read.
+    """
+    parts, gold = f"{name}.HEALTH_PARTS", f"{name}.YIELD_BY_LINE"
+    delta = refine.yield_parts(spark.read.parquet(f"{gate}/images"), HOUR).withColumn(stored.DAY, stored.day_of("BUCKET"))
+    added = refine.health_parts(tables.read_telemetry(spark, f"{gate}/readings"), HOUR).withColumn(stored.DAY, stored.day_of("BUCKET"))
+    days = stored.days_touched(delta, added)
+    health = refine.add_health(stored.read_days(spark, parts, days).unionByName(added)).withColumn(stored.DAY, stored.day_of("BUCKET"))
+    stored.replace_days(health, parts)
+    sums = ["UNITS", "SCRAP_UNITS"]
+    held = refresh.add_parts(stored.read_days(spark, gold, days), delta, ["LINE", "BUCKET"], sums, "UNITS")
+    fresh = refine.yield_table(held, refine.health_table(stored.read_days(spark, parts, days)))
+    stored.replace_days(fresh.withColumn(stored.DAY, stored.day_of("BUCKET")), gold, days)
     return spark.table(gold).drop(stored.DAY)
 
 
 @query
 def incremental_refresh(spark: SparkSession, d: str) -> DataFrame:
     """Yield stored by day for all but the last gate, then brought up to date by that gate."""
-    return refresh_stored(spark, d, refresh_base(spark, d))
+    return refresh_stored(spark, *refresh_base(spark, d))
 
 
 @query

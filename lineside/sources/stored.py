@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lineside import schemas as S
@@ -42,46 +42,47 @@ def publish(frame: DataFrame, table: str, what_it_is: str = "", at: Stamp | None
         frame.sparkSession.sql(f"COMMENT ON TABLE {table} IS '{note}'")
 
 
-def days_touched(*frames: DataFrame) -> DataFrame:
-    """The days of ``frames`` with their numbers of rows.
-
-    There are at most as many as the table has partitions, so the days may be broadcast.
-    """
+def days_touched(*frames: DataFrame) -> list[str]:
+    """The days of ``frames``: names of partitions, of which a table has one for each day of its history."""
     rows = reduce(DataFrame.unionByName, [f.select(DAY) for f in frames])
-    return rows.groupBy(DAY).agg(F.count("*").alias("n"))
+    return sorted(r[DAY] for r in rows.distinct().collect())
 
 
-def read_days(spark: SparkSession, table: str, days: DataFrame) -> DataFrame:
-    """Rows of the given days: the scan is pruned at run time to their partitions."""
-    wanted = days.where("n > 0").select(DAY)  # a filter, without which the scan is not pruned
-    return spark.table(table).join(F.broadcast(wanted), DAY, "left_semi")
+def read_days(spark: SparkSession, table: str, days: Sequence[str]) -> DataFrame:
+    """Rows of the given days; no other partition is listed or read."""
+    return spark.table(table).where(F.col(DAY).isin(list(days)))
 
 
-def replace_days(rows: DataFrame, table: str, emptied: Sequence[str] = ()) -> None:
-    """Write whole days of ``table`` anew and drop the ``emptied`` ones; no other partition is read or written.
+def replace_days(rows: DataFrame, table: str, touched: Sequence[str] = ()) -> None:
+    """Write the days of ``rows`` anew; those ``touched`` days that have no row any more are dropped.
 
-    ``rows`` may read the table: the new files are put in place once all are written.
+    No other partition is read or written. ``rows`` may read the table: new files are put in place once all are written. Which of
+    the touched days got a row is told by the write itself.
     """
     spark = rows.sparkSession
-    columns = spark.table(table).columns
-    rows.select(*columns).hint("rebalance", DAY).write.mode("overwrite").insertInto(table)
-    if emptied:
-        gone = ", ".join(f"PARTITION ({DAY} = '{day}')" for day in emptied)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {gone}")
-
-
-def merge_days(table: str, key: str, before: DataFrame, after: DataFrame) -> tuple[DataFrame, list[str]]:
+    fresh = rows.select(*spark.table(table).columns).hint("rebalance", DAY)
+    written = Observation()
+    numbers = {day: i for i, day in enumerate(touched)}
+    if touched:
+        number = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])[F.col(DAY)]
+        fresh = fresh.observe(written, F.bitmap_construct_agg(F.bitmap_bit_position(number + 1)).alias("days"))
+    fresh.write.mode("overwrite").insertInto(table)
+    if touched:
+        bits = written.get["days"] or b""
+        gone = [day for day, i in numbers.items() if not (bits and bits[i // 8] >> i % 8 & 1)]
+        if gone:
+            parts = ", ".join(f"PARTITION ({DAY} = '{day}')" for day in gone)
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+
+
+def merge_days(table: str, key: str, before: DataFrame, after: DataFrame) -> None:
     """Replace rows of a table stored by day: ``before`` are the held rows that go, ``after`` what comes in their stead.
 
-    Both carry ``DAY``. Returns the touched days and those of them that have no row left, a list as short as the touched days.
+    Both carry ``DAY``.
     """
-    spark = after.sparkSession
     days = days_touched(before, after)
-    kept = read_days(spark, table, days).join(before.select(key), key, "left_anti")
-    rows = kept.unionByName(after)
-    emptied = days.join(rows.select(DAY).distinct(), DAY, "left_anti").select(DAY).collect()
-    replace_days(rows, table, [r[DAY] for r in emptied])
-    return days, [r[DAY] for r in emptied]
+    kept = read_days(after.sparkSession, table, days).join(before.select(key), key, "left_anti")
+    replace_days(kept.unionByName(after), table, days)
 
 
 # ---- what exists ----

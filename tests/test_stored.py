@@ -47,7 +47,8 @@ def by_day(spark, database, days=10, rows=100):
 def test_a_refresh_reads_and_writes_only_the_days_it_touches(spark, database):
     table = by_day(spark, database)
     one = spark.createDataFrame([("3-7", NOON + timedelta(days=3), 7)], ROW).withColumn(stored.DAY, stored.day_of("at"))
-    days = spark.createDataFrame(stored.days_touched(one).collect())
+    days = stored.days_touched(one)
+    assert days == ["2026-01-04"]
     folder = shared_dir(spark, "log")
     with eventlog.recorded(spark, folder):
         assert stored.read_days(spark, table, days).count() == 100
@@ -68,18 +69,40 @@ def test_a_row_that_moves_leaves_its_day_and_an_emptied_day_goes(spark, database
     stored.publish(spark.createDataFrame(data, ROW), f"{database}.t", at="at")
     before = spark.table(f"{database}.t").where("k = 'a'")
     after = spark.createDataFrame([("a", NOON + timedelta(days=1), 9)], ROW).withColumn(stored.DAY, stored.day_of("at"))
-    emptied = stored.merge_days(f"{database}.t", "k", before, after)[1]
-    assert emptied == ["2026-01-01"]
+    stored.merge_days(f"{database}.t", "k", before, after)
+    assert "DAY=2026-01-01" not in os.listdir(spark.catalog.getDatabase(database).locationUri.removeprefix("file:") + "/t")
     rows = {(r.k, r.v, r.DAY) for r in spark.table(f"{database}.t").collect()}
     assert rows == {("a", 9, "2026-01-02"), ("b", 2, "2026-01-02"), ("n", 3, stored.NO_DAY)}
 
 
-def test_two_gates_on_stored_state_give_the_full_recompute(spark):
-    name = catalog.refresh_base(spark, SF_DIR)
-    held = spark.table(f"{name}.YIELD_BY_LINE").count()
-    got = {tuple(r) for r in catalog.refresh_stored(spark, SF_DIR, name).select("LINE", "BUCKET", "UNITS", "SCRAP_UNITS").collect()}
-    want = {tuple(r) for r in catalog.QUERIES["yield_by_line_hour"](spark, SF_DIR).select("LINE", "BUCKET", "UNITS", "SCRAP_UNITS").collect()}
-    assert got == want and held > 0
+def test_a_gate_on_stored_state_gives_the_full_recompute(spark):
+    name, gate = catalog.refresh_base(spark, SF_DIR)
+    columns = ["LINE", "BUCKET", "UNITS", "SCRAP_UNITS", "AVG_BOOTH_HUMIDITY"]
+    got = {tuple(r) for r in catalog.refresh_stored(spark, name, gate).withColumn(
+        "AVG_BOOTH_HUMIDITY", F.round("AVG_BOOTH_HUMIDITY", 6)).select(*columns).collect()}
+    want = {tuple(r) for r in catalog.QUERIES["yield_by_line_hour"](spark, SF_DIR).withColumn(
+        "AVG_BOOTH_HUMIDITY", F.round("AVG_BOOTH_HUMIDITY", 6)).select(*columns).collect()}
+    assert got == want
+
+
+def test_a_refresh_of_one_day_reads_one_day_of_stored_state(spark):
+    name, gate = catalog.refresh_base(spark, SF_DIR)
+    held = spark.table(f"{name}.YIELD_BY_LINE")
+    day = held.groupBy(stored.DAY).agg(F.count("*").alias("n")).orderBy(stored.DAY).first()
+    parts = spark.table(f"{name}.HEALTH_PARTS").where(F.col(stored.DAY) == day[0]).count()
+    row = held.where(F.col(stored.DAY) == day[0]).first()
+    change, folder, log = (shared_dir(spark, n) for n in ("change", "gate", "log"))
+    spark.read.parquet(f"{gate}/images").limit(0).unionByName(spark.createDataFrame(
+        [("k", row.LINE, "FAIL", row.BUCKET, "X", 1, 1)],
+        "INSPECTION_ID string, LINE string, STATUS string, EVENT_TS timestamp_ntz, DEFECT_CODE string, IS_SCRAP int, _sign int"
+    )).write.parquet(f"{folder}/images")
+    spark.read.parquet(f"{gate}/readings").limit(0).write.parquet(f"{folder}/readings")
+    with eventlog.recorded(spark, log):
+        catalog.refresh_stored(spark, name, folder)
+    # The day's yield once; its readings to be added to and, after that, to be joined; and the gate's few own rows.
+    assert records_read(log) <= day.n + 2 * parts + 20
+    after = spark.table(f"{name}.YIELD_BY_LINE").where((F.col("LINE") == row.LINE) & (F.col("BUCKET") == row.BUCKET)).first()
+    assert (after.UNITS, after.SCRAP_UNITS) == (row.UNITS + 1, row.SCRAP_UNITS + 1)
 
 
 def test_inventory_comes_from_the_catalog_without_reading_a_table(spark, database):
