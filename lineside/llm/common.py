@@ -43,6 +43,20 @@ def settle(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def unused(name: str, frame: DataFrame) -> str:
+    """``name``, longer where ``frame`` has a column of that name."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` but for rows whose ``doc_id`` is among those of ``gone``."""
+    key = unused("gone", docs)
+    return docs.join(gone.select(F.col("doc_id").alias(key)).distinct(), F.col("doc_id") == F.col(key), "left_anti")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often a lambda inside ``body`` reads it."""
     return F.transform(F.array(value), body)[0]

@@ -166,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             names=["weights", "bias", "slope", "offset"])
 
     row = (
-        texts.mapInArrow(extract, "doc_id long, label int, buckets array<int>").coalesce(1)
+        texts.mapInArrow(extract, "doc_id long, label int, buckets array<int>").repartition(1)
         .mapInArrow(train, "weights binary, bias double, slope double, offset double").first())
     if row is None:
         return fit_rows([], np.empty(0, bool))
