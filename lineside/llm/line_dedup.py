@@ -146,8 +146,7 @@ def shared_lines(lines: list[int], words: list[int], runs: list[tuple[int, int,
         k = bisect_right(covered, (p, len(lines))) - 1
         if k < 0 or covered[k][1] < p + n:
             take(list(range(q, q + n)), list(range(p, p + n)))
-            covered = merged(out)
-    return covered
+    return merged(out)
 
 
 def merged(cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
