@@ -173,7 +173,7 @@ def common_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     filled = F.filter(F.transform("lines", line), lambda x: x["chars"] > 0)
     hashed = settle(texts.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.transform(filled, lambda x: F.struct(x["i"], x["h"], x["words"])).alias("lines")).where("size(lines) > 0"), "lines")
+        F.transform(filled, lambda x: F.struct(x["i"], x["h"], x["words"])).alias("lines")), "lines")
 
     def cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
