@@ -10,11 +10,13 @@ its smallest ``doc_id`` from there on, so copies are never paired. Classes that
 1. In each shared band every class is checked against the smallest one. Verified links give first components.
 2. In bands whose classes are not all in the component of the smallest, classes of different components are checked
    against each other if they share a shingle so early in their sets, rarest shingles first, that the similarity is
-   possible: what two sets share lies at or after their first common shingle in both. Members of one component
-   need no check against each other, their link changes nothing.
+   possible: what two sets share lies at or after their first common shingle in both. The ``AHEAD`` shingles that follow it
+   in both must agree on enough, too, as the rest of a set can't make up for more than its own number. Members of one
+   component need no check against each other, their link changes nothing.
 
 The filter in 2 is exact, so no link between different components of a band is lost. It is a join on the shingle and on steps of
-the set's size. Classes of one size that each have over a ninth of their shingles to themselves never meet, however many they are.
+the set's size. Classes of one size that each have over a ninth of their shingles to themselves never meet, however many they are;
+those of a template that differ in what ``AHEAD`` covers meet in the join but don't leave it.
 A pair at the limit of 0.8 shares none of the 40 bands of 6 with a chance of 5 in a million.
 
 Rows with the same ``doc_id`` are one document. A row without ``doc_id`` is linked with nothing: its component is NULL and it is
@@ -39,6 +41,8 @@ SIGNATURE = 512
 LIKELY = 0.6
 #: Set sizes are compared in steps of a fiftieth of their logarithm, two hundredths of the size.
 STEPS = 50
+#: Shingles after a common one that two sets compare before they become a pair.
+AHEAD = 32
 #: Shingles in a batch on their way out of Python.
 UNFOLDED = 1 << 18
 _rng = np.random.default_rng(7)
@@ -119,30 +123,37 @@ def possible(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     ``left`` counts a set's shingles from one on, rarest first, that at least two of the sets have. The sets share ``left`` shingles
     at most if this one is the first they share; ``(100 + percent) * shared >= percent * (n + m)`` is the similarity asked for.
+    ``after`` holds the next ``AHEAD`` of them. A similar pair passes at its first common shingle, if at no other.
     """
     rows = settle(unfolded(sets.join(placed.select("doc_id"), "doc_id", "left_semi")), "unfolded")
     often = settle(rows.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1"), "often")
     last_first = Window.partitionBy("doc_id").orderBy(F.desc("often"), F.desc("shingle"))
-    ranked = rows.join(often, "shingle").withColumn("left", F.row_number().over(last_first).cast("long"))
+    after = F.collect_list("shingle").over(last_first.rowsBetween(-AHEAD, -1))
+    ranked = rows.join(often, "shingle").withColumn("left", F.row_number().over(last_first).cast("long")).withColumn("after", after)
+    carried = ["doc_id", "n", "root", "bands", "left", "after"]
     early = settle(
         ranked.join(placed.select("doc_id", "n", "root", "bands"), "doc_id")
-        .where(F.col("left") * (100 + percent) >= F.ceil(F.col("n") * percent / 100) * percent + F.col("n") * percent), "early")
+        .where(F.col("left") * (100 + percent) >= F.ceil(F.col("n") * percent / 100) * percent + F.col("n") * percent)
+        .select("shingle", *carried), "early")
 
     def step(size: Column) -> Column:
         return F.floor(F.log(size) * STEPS)
 
     # The smaller set of a pair, or one of two equal ones, has this size; the larger one reaches down to it.
     small = early.where(F.col("left") * (100 + percent) >= F.col("n") * 2 * percent).select(
-        "shingle", step(F.col("n")).alias("step"), "doc_id", "n", "root", "bands", "left")
+        "shingle", step(F.col("n")).alias("step"), *carried)
     least = F.ceil(F.col("n") * percent / 100)
     most = F.least("n", F.floor((F.col("left") * (100 + percent) - F.col("n") * percent) / percent))
     large = early.withColumn("step", F.explode(F.sequence(step(least), step(most)))).select(
-        "shingle", "step", *[F.col(c).alias(f"x_{c}") for c in ("doc_id", "n", "root", "bands", "left")])
+        "shingle", "step", *[F.col(c).alias(f"x_{c}") for c in carried])
     shared = (F.col("n") + F.col("x_n")) * percent
+    # Both sets are in one order, so a common shingle that is not in both stretches lies beyond the one that ends earlier.
+    beyond = F.greatest(F.col("left") - F.size("after"), F.col("x_left") - F.size("x_after"))
+    reach = F.size(F.array_intersect("after", "x_after")) + beyond
     return small.join(large, ["shingle", "step"]).where(
         (F.col("root") != F.col("x_root")) & (F.col("n") <= F.col("x_n"))
         & (F.col("left") * (100 + percent) >= shared) & (F.col("x_left") * (100 + percent) >= shared)
-        & F.arrays_overlap("bands", "x_bands")
+        & (reach * (100 + percent) >= shared) & F.arrays_overlap("bands", "x_bands")
     ).select(F.least("doc_id", "x_doc_id").alias("u"), F.greatest("doc_id", "x_doc_id").alias("v")).distinct()
 
 
