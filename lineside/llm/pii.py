@@ -8,7 +8,7 @@ characters before the span; spans below ``THRESHOLD`` are dropped.
 
 Matches are leftmost and do not overlap within a kind; one that fails its check is dropped and not tried again inside. Positions
 are code points, the end exclusive. The expressions give the same matches as the plain ones in the comments but never try
-a run of characters twice, so a text without blanks takes linear time.
+a run of characters twice, and places and contexts are summed up along the text, so time is linear in texts of either kind.
 
 DataFrame functions only. NULL texts are empty. Repeated rows are reported each. An empty table gives an empty result. Other
 columns are not read.
@@ -46,23 +46,57 @@ PRIOR = {"iban": 0.6, "ssn": 0.4, "secret": 0.3}
 BOOST = 0.3
 THRESHOLD = 0.5
 NEAR = 40
+#: Matches whose places are summed up together.
+BLOCK = 256
+SPANS = "array<struct<start:int,end:int,match:string,before:string>>"
 
 
 def proposals(text: Column, kind: str) -> Column:
-    """Array of (start, end, match). What lies between matches gives their places."""
+    """Array of (start, end, match, before): what lies between matches gives their places, ``before`` is the ``NEAR`` characters.
+
+    Lengths are summed up by blocks of matches first and within them then, so that no array grows over all matches of a text.
+    """
     pattern = PATTERNS[kind]
+    scored = kind in SCORED_KINDS
 
     def places(both: Column) -> Column:
         gaps, found = both["gaps"], both["found"]
-        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,match:string>>").alias("out"))
+        none = F.array().cast(SPANS)
 
-        def step(acc: Column, m: Column) -> Column:
-            start = acc["at"] + F.length(F.get(gaps, F.size(acc["out"])))
-            end = start + F.length(m)
-            span = F.struct(start.alias("start"), end.alias("end"), m.alias("match"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        def inside(i: Column) -> Column:
+            return F.sequence(i, F.least(i + BLOCK, F.size(found)) - 1)
+
+        def length(acc: Column, i: Column) -> Column:
+            return acc + F.length(F.get(gaps, i)) + F.length(F.get(found, i))
 
-        return F.aggregate(found, begin, step, lambda acc: acc["out"])
+        def tail(acc: Column, i: Column) -> Column:
+            return F.right(F.concat(acc, F.get(gaps, i), F.get(found, i)), F.lit(NEAR))
+
+        def total(acc: Column, n: Column) -> Column:
+            return F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+        def step(acc: Column, i: Column) -> Column:
+            gap, m = F.get(gaps, i), F.get(found, i)
+            start = acc["at"] + F.length(gap)
+            end = start + F.length(m)
+            before = F.right(F.concat(acc["last"], gap), F.lit(NEAR)) if scored else F.lit("")
+            span = F.struct(start.alias("start"), end.alias("end"), m.alias("match"), before.alias("before"))
+            return F.struct(
+                end.alias("at"), (tail(acc["last"], i) if scored else F.lit("")).alias("last"),
+                F.concat(acc["out"], F.array(span)).alias("out"))
+
+        def block(i: Column, at: Column) -> Column:
+            # A match has a character at least, so the NEAR matches before a block hold the characters before it.
+            last = F.when(i > 0, F.aggregate(F.sequence(F.greatest(i - NEAR, F.lit(0)), i - 1), F.lit(""), tail)).otherwise("")
+            begin = F.struct(at.alias("at"), (last if scored else F.lit("")).alias("last"), none.alias("out"))
+            return F.aggregate(inside(i), begin, step, lambda acc: acc["out"])
+
+        blocks = F.sequence(F.lit(0), F.size(found) - 1, F.lit(BLOCK))
+        lengths = F.transform(blocks, lambda i: F.aggregate(inside(i), F.lit(0), length))
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        placed = let(F.aggregate(lengths, begin, total, lambda acc: acc["out"]), lambda starts: F.flatten(
+            F.transform(blocks, lambda i, k: block(i, F.get(starts, k)))))
+        return F.when(F.size(found) > 0, placed).otherwise(none)
 
     both = F.struct(F.split(text, pattern).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
     return let(both, places)
@@ -121,8 +155,7 @@ def spans(docs: DataFrame) -> DataFrame:
             if base:
                 score = F.lit(1.0)
             else:
-                before = F.lower(F.substr(text, F.greatest(s["start"] - NEAR, F.lit(0)) + 1, F.least(s["start"], F.lit(NEAR))))
-                hits = sum((F.contains(before, F.lit(w)).cast("int") for w in CONTEXT[kind]), F.lit(0))
+                hits = sum((F.contains(F.lower(s["before"]), F.lit(w)).cast("int") for w in CONTEXT[kind]), F.lit(0))
                 score = F.least(F.lit(1.0), F.lit(PRIOR[kind]) + BOOST * hits)
             return F.struct(s["start"].alias("start"), F.lit(order).alias("order"), s["end"].alias("end"), score.alias("score"))
 
@@ -133,7 +166,7 @@ def spans(docs: DataFrame) -> DataFrame:
     # A kind's first look is a cheap test of the whole text.
     first = {"email": text.contains("@"), "phone": text.contains("+"), "ip": text.rlike("[0-9]"), "card": text.rlike("[0-9]"),
              "iban": text.rlike("[0-9]"), "ssn": text.rlike("[0-9]"), "secret": text.rlike("[0-9]")}
-    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
+    none = F.array().cast(SPANS)
     found = docs.select("doc_id", "text", *[
         F.when(first[k], proposals(text, k)).otherwise(none).alias(f"_{k}") for k in KINDS])
     return found.select("doc_id", F.transform(
