@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineside.llm.common import settle, slices, text_bytes
@@ -46,13 +46,11 @@ def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def text_model(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages of ``docs`` (doc_id, text, lang) in order, and log-probabilities of the buckets for each."""
     known = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang")
-    languages = sorted(r["lang"] for r in known.select("lang").distinct().collect())  # few
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = settle(known.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= sample).drop("nth"), "chosen")
+    languages = sorted(r["lang"] for r in chosen.select("lang").distinct().collect())  # few
     if not languages:
         return [], np.empty((0, BUCKETS), np.float32)
-    chosen = None
-    for lang in languages:
-        some = known.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        chosen = some if chosen is None else chosen.union(some)
     texts = docs.select("doc_id", "text", F.col("lang").alias("_l")).join(F.broadcast(chosen), "doc_id").where(
         "_l = lang").select("lang", "text")
 
@@ -71,8 +69,12 @@ def text_model(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.nda
 
 
 def visible(html: Column) -> Column:
-    """What is left of a page without scripts, styles, comments, tags and entities."""
-    cut = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    """What is left of a page without scripts, styles, comments, tags and entities.
+
+    What is never closed reaches to the end of the page, as in a browser, so no part of a page is looked through twice.
+    """
+    cut = F.regexp_replace(
+        html, r"(?is)<(script|style)\b.*?(?:</\1\s*+>|\z)|<!--.*?(?:-->|\z)|<[a-z/!?][^>]*+(?:>|\z)", " ")
     return F.regexp_replace(cut, r"&[A-Za-z0-9#]{1,10};", " ")
 
 
@@ -80,7 +82,7 @@ def evidence(pages: DataFrame, languages: list[str], model: np.ndarray) -> DataF
     """page_id, declared, host, domain, suffix and p, the distribution by text alone."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     path = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^:]+://[^/?#]+/([A-Za-z]{2})(?:[/?#]|$)", 1))
-    declared = F.lower(F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z]+)", 1))
+    declared = F.lower(F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html\b[^<>]*?\slang\s*+=\s*+[\"']?([A-Za-z]+)", 1))
     parts = pages.select(
         "page_id", declared.alias("declared"), host.alias("host"),
         F.substring_index(host, ".", -2).alias("domain"),
