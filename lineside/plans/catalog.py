@@ -32,6 +32,7 @@ HOUR, DAY = 60, 1440
 STEPS = 3
 KEY_SHAPE = r"^S-[0-9]+$"
 MERGE_TAG = "CDC_MERGE"
+SPANS = 64  # parts of a table stored by time
 
 
 def query(build: Query) -> Query:
@@ -101,6 +102,12 @@ def _replay(
     return base
 
 
+def _days_per_part(spark: SparkSession, d: str) -> int:
+    """Days in a part, so that a table by time has about ``SPANS`` parts however long the feed is."""
+    days = feeds.events(spark, d).agg(F.datediff(F.max("ts"), F.min("ts"))).first()[0]
+    return (days or 0) // SPANS + 1
+
+
 # --- sources and sinks ----------------------------------------------------------------------------
 
 @query
@@ -391,21 +398,24 @@ def station_health(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def station_health_stream(spark: SparkSession, d: str) -> DataFrame:
+    days = _days_per_part(spark, d)
     base = _replay(spark, d, "health", lambda rows, base: rollup.health_stream(
-        feeds.telemetry_of(rows), rollup.health_store(spark, f"{base}/health"), f"{base}/checkpoint"))
-    return refine.health_table(rollup.health_store(spark, f"{base}/health").read())
+        feeds.telemetry_of(rows), rollup.health_store(spark, f"{base}/health", days_per_part=days), f"{base}/checkpoint"))
+    return refine.health_table(rollup.health_store(spark, f"{base}/health", days_per_part=days).read())
 
 
 @query
 def station_health_stateful(spark: SparkSession, d: str) -> DataFrame:
     """The same rollup by a stateful aggregation in update mode."""
+    days = _days_per_part(spark, d)
+
     def start(rows: DataFrame, base: str) -> StreamingQuery:
-        store = rollup.health_store(spark, f"{base}/health")
+        store = rollup.health_store(spark, f"{base}/health", days_per_part=days)
         updates = rollup.health_updates(feeds.telemetry_of(rows))
         return rollup.upsert_stream(updates, store, refine.HEALTH_KEYS, f"{base}/checkpoint")
 
     base = _replay(spark, d, "health-state", start, steps=2)
-    return refine.health_table(rollup.health_store(spark, f"{base}/health").read())
+    return refine.health_table(rollup.health_store(spark, f"{base}/health", days_per_part=days).read())
 
 
 @query
@@ -544,9 +554,10 @@ def restatements(spark: SparkSession, d: str) -> DataFrame:
 
 def _pipeline(spark: SparkSession, d: str, name: str, steps: int = STEPS) -> pipeline.Plant:
     plants: dict[str, pipeline.Plant] = {}
+    days = _days_per_part(spark, d)
 
     def start(rows: DataFrame, base: str) -> StreamingQuery:
-        plant = plants.setdefault("plant", pipeline.Plant.at(spark, f"{base}/plant"))
+        plant = plants.setdefault("plant", pipeline.Plant.at(spark, f"{base}/plant", days_per_part=days))
         return pipeline.pipeline_stream(
             feeds.journal_of(rows), feeds.telemetry_of(rows), plant, f"{base}/checkpoint")
 

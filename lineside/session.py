@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Sequence
 
@@ -12,6 +13,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 
 LOCAL_ROOT = "/tmp/checkpoints"
+_COALESCED = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+_setting = threading.Lock()
 
 
 def build_session(app: str = "lineside", master: str | None = None, **conf: str) -> SparkSession:
@@ -59,6 +62,22 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def held(rows: DataFrame) -> DataFrame:
+    """Persist ``rows`` in as many partitions as they fill.
+
+    By itself a persisted frame keeps every shuffle partition, however small, and each of them hands on a piece to each
+    partition of the next shuffle: 200 times 200 files for a few thousand rows.
+    """
+    conf = rows.sparkSession.conf
+    with _setting:
+        before = conf.get(_COALESCED)
+        conf.set(_COALESCED, "true")
+        try:
+            return rows.persist()
+        finally:
+            conf.set(_COALESCED, before)
+
+
 def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
     """A few driver-side rows as a local relation, which needs no job and folds away when empty."""
     columns = list(zip(*rows)) if rows else [[] for _ in schema]

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lineside import schemas as S
 from lineside.functions.times import stamp
 from lineside.operators import cdc
+from lineside.session import held
 from lineside.streaming.landing import DRAIN
 from lineside.streaming.parts import Numbers, PartedTable, RunLog, hash_part, utc_now
 
@@ -50,7 +51,7 @@ def merge_batch(store: PartedTable, events: DataFrame, batch: int) -> Merged | N
     """
     started = utc_now()
     # Time and number travel as columns: as literals they would give every batch code of its own to compile.
-    newest = cdc.newest_rows(events).withColumns({"_now": stamp(started), "_no": F.lit(batch)}).persist()
+    newest = held(cdc.newest_rows(events).withColumns({"_now": stamp(started), "_no": F.lit(batch)}))
     try:
         rows, touched = _touched(store, newest)
         if rows == 0:

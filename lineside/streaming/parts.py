@@ -107,10 +107,16 @@ def hash_part(*keys: str, parts: int) -> Callable[[], Column]:
     return lambda: F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("string")
 
 
-def day_part(at: str, *keys: str, parts: int = 1) -> Callable[[], Column]:
-    """One part per day, split further by a hash of ``keys`` where a day is too large for one."""
+def day_part(at: str, *keys: str, parts: int = 1, days: int = 1) -> Callable[[], Column]:
+    """One part per day, split further by a hash of ``keys`` where a day is too large for one.
+
+    Where a day is too small, a part takes ``days`` of them and is named by its first day.
+    """
     def column() -> Column:
-        day = F.coalesce(F.col(at).cast("date").cast("string"), F.lit("none"))
+        date = F.col(at).cast("date")
+        if days > 1:
+            date = F.date_sub(date, F.pmod(F.unix_date(date), F.lit(days)))
+        day = F.coalesce(date.cast("string"), F.lit("none"))
         if parts == 1:
             return day
         return F.concat(day, F.lit("-"), F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("string"))
@@ -170,10 +176,13 @@ class PartedTable:
         return self.spark.read.schema(self.schema).parquet(*paths)
 
     def parts_of(self, *frames: DataFrame) -> set[str]:
-        """Names of the parts that some rows belong to: at most as many as the table has parts."""
+        """Names of the parts that some rows belong to: at most as many as the table has parts.
+
+        Each task hands on one row with its names.
+        """
         found: set[str] = set()
         for frame in frames:
-            found.update(r.p for r in frame.select(self.part().alias("p")).distinct().collect())
+            found.update(frame.agg(F.collect_set(self.part())).first()[0])
         return found
 
     def replace(self, rows: DataFrame, touched: Iterable[str], batch: int) -> tuple[int, int]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +17,7 @@ from lineside import schemas as S
 from lineside.functions.times import stamp
 from lineside.operators import refine
 from lineside.operators.refresh import add_parts, signed
-from lineside.session import local_rows
+from lineside.session import held, local_rows
 from lineside.streaming.landing import DRAIN
 from lineside.streaming.merging import Merged, destination, merge_batch
 from lineside.streaming.parts import Numbers, PartedTable, RunLog, day_part, utc_now
@@ -26,6 +26,7 @@ from lineside.streaming.rollup import add_readings, health_store
 YIELD = S.fields(
     LINE=S.STRING, BUCKET=S.NTZ, UNITS=S.INT, SCRAP_UNITS=S.INT,
     FIRST_PASS_YIELD_PCT=T.DecimalType(5, 2), AVG_BOOTH_HUMIDITY=S.DOUBLE)
+MERGED = T.StructType([f for f in S.JOURNAL.fields if f.name not in ("SEEN_AT", "METADATA")])
 DEFECTS = S.fields(LINE=S.STRING, BUCKET=S.NTZ, DEFECT_CODE=S.STRING, N=S.INT)
 
 
@@ -39,19 +40,24 @@ class Plant:
     defects: PartedTable
     log: RunLog
     numbers: Numbers
+    days_per_part: int = 1
 
     @classmethod
-    def at(cls, spark: SparkSession, path: str, parts: int = 16, parts_per_day: int = 1) -> Plant:
+    def at(
+        cls, spark: SparkSession, path: str, parts: int = 16, parts_per_day: int = 1, days_per_part: int = 1
+    ) -> Plant:
         """Tables below ``path``. The three bucketed tables share their parts, so a refresh of one day's
-        yield reads that day's humidity and nothing else."""
-        day = day_part("BUCKET", "LINE", parts=parts_per_day)
+        yield reads that day's humidity and nothing else. Each part is a file at least, so a long history of
+        small days wants several ``days_per_part``. All of them are fixed for the life of the tables."""
+        day = day_part("BUCKET", "LINE", parts=parts_per_day, days=days_per_part)
         return cls(
             destination(spark, f"{path}/inspections", parts),
-            health_store(spark, f"{path}/health", parts_per_day),
+            health_store(spark, f"{path}/health", parts_per_day, days_per_part),
             PartedTable(spark, f"{path}/yield", YIELD, day),
             PartedTable(spark, f"{path}/defects", DEFECTS, day),
             RunLog(spark, f"{path}/runs"),
             Numbers(spark, f"{path}/numbers"),
+            days_per_part,
         )
 
     def active(self) -> DataFrame:
@@ -67,7 +73,8 @@ class Plant:
 
     def between(self, table: PartedTable, start: datetime, end: datetime) -> DataFrame:
         """Rows of a bucketed table from ``start`` to ``end``; a look-back opens the files of its days only."""
-        first, last = start.date().isoformat(), end.date().isoformat()
+        earliest = max(1, start.toordinal() - self.days_per_part + 1)  # first day of a part that reaches to ``start``
+        first, last = date.fromordinal(earliest).isoformat(), end.date().isoformat()
         days = [p for p in table.snapshot() if first <= p[:10] <= last]
         return table.read(days).where(F.col("BUCKET").between(stamp(start), stamp(end)))
 
@@ -113,7 +120,7 @@ def refresh_batch(plant: Plant, events: DataFrame, telemetry: DataFrame, batch:
     humid, merged = _both(events.sparkSession, health, inspections)
     if merged:
         entries.append(merged.entry)
-        rows = signed(refine.active(merged.before), refine.active(merged.after)).persist()
+        rows = held(signed(refine.active(merged.before), refine.active(merged.after)))
     else:
         empty = refine.active(local_rows(events.sparkSession, [], S.INSPECTIONS))
         rows = signed(empty, empty)
@@ -125,8 +132,8 @@ def refresh_batch(plant: Plant, events: DataFrame, telemetry: DataFrame, batch:
             started = utc_now()
             if days and not plant.defects.committed(batch):
                 with plant.log.watch("DEFECT_COUNTS_5MIN", "INCREMENTAL", batch):
-                    held = plant.defects.read(days, before=batch)
-                    table = refine.defect_table(add_parts(held, counts, refine.DEFECT_KEYS, ["N"], "N"))
+                    old = plant.defects.read(days, before=batch)
+                    table = refine.defect_table(add_parts(old, counts, refine.DEFECT_KEYS, ["N"], "N"))
                     entries.append(_entry("DEFECT_COUNTS_5MIN", started, plant.defects.replace(table, days, batch)))
 
         def yields() -> None:
@@ -134,9 +141,9 @@ def refresh_batch(plant: Plant, events: DataFrame, telemetry: DataFrame, batch:
             touched = days | humid
             if touched and not plant.yields.committed(batch):
                 with plant.log.watch("YIELD_BY_LINE_5MIN", "INCREMENTAL", batch):
-                    held = plant.yields.read(touched, before=batch)
+                    old = plant.yields.read(touched, before=batch)
                     parts = add_parts(
-                        held, refine.yield_parts(rows, width), refine.YIELD_KEYS, ["UNITS", "SCRAP_UNITS"], "UNITS")
+                        old, refine.yield_parts(rows, width), refine.YIELD_KEYS, ["UNITS", "SCRAP_UNITS"], "UNITS")
                     table = refine.yield_table(parts, refine.health_table(plant.health.read(touched)))
                     entries.append(_entry("YIELD_BY_LINE_5MIN", started, plant.yields.replace(table, touched, batch)))
 
@@ -150,10 +157,10 @@ def refresh_batch(plant: Plant, events: DataFrame, telemetry: DataFrame, batch:
 
 
 def tagged(journal: DataFrame, telemetry: DataFrame) -> DataFrame:
-    """Both feeds as one stream, so that one batch carries what either has new."""
+    """Both feeds as one stream, so that one batch carries what either has new, without what no layer reads."""
     def side(frame: DataFrame, name: str) -> DataFrame:
         columns = []
-        for tag, schema in (("journal", S.JOURNAL), ("telemetry", S.TELEMETRY)):
+        for tag, schema in (("journal", MERGED), ("telemetry", S.TELEMETRY)):
             whole = F.struct(*schema.names) if tag == name else F.lit(None).cast(_nullable(schema))
             columns.append(whole.alias(tag))
         return frame.select(F.lit(name).alias("feed"), *columns)

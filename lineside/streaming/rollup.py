@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lineside import schemas as S
 from lineside.operators import refine
+from lineside.session import held
 from lineside.streaming.landing import DRAIN
 from lineside.streaming.parts import Numbers, PartedTable, day_part
 
@@ -23,13 +24,13 @@ HEALTH_PARTS = S.fields(
     VALUE_SUM=S.DOUBLE, MAX_VALUE=S.DOUBLE)
 
 
-def health_store(spark: SparkSession, path: str, parts_per_day: int = 1) -> PartedTable:
-    return PartedTable(spark, path, HEALTH_PARTS, day_part("BUCKET", "LINE", parts=parts_per_day))
+def health_store(spark: SparkSession, path: str, parts_per_day: int = 1, days_per_part: int = 1) -> PartedTable:
+    return PartedTable(spark, path, HEALTH_PARTS, day_part("BUCKET", "LINE", parts=parts_per_day, days=days_per_part))
 
 
 def add_readings(store: PartedTable, telemetry: DataFrame, batch: int, width: int = 5) -> tuple[set[str], int, int]:
     """Add one batch of readings to the stored parts; returns the touched parts and the row counts."""
-    change = refine.health_parts(telemetry, width).persist()
+    change = held(refine.health_parts(telemetry, width))
     try:
         touched = store.parts_of(change)
         if not touched or store.committed(batch):
@@ -71,15 +72,15 @@ def health_updates(telemetry: DataFrame, width: int = 5, late_limit: str | None
 
 def upsert(store: PartedTable, rows: DataFrame, keys: Sequence[str], batch: int) -> None:
     """Replace the stored rows of the given keys."""
-    rows = rows.persist()
+    rows = held(rows)
     try:
         touched = store.parts_of(rows)
         if not touched or store.committed(batch):
             return
         names = store.schema.names
-        held = store.read(touched, before=batch).select(F.lit(0).alias("_new"), F.struct(*names).alias("_row"), *keys)
+        old = store.read(touched, before=batch).select(F.lit(0).alias("_new"), F.struct(*names).alias("_row"), *keys)
         fresh = rows.select(F.lit(1).alias("_new"), F.struct(*names).alias("_row"), *keys)
-        newest = held.unionByName(fresh).groupBy(*keys).agg(F.max_by("_row", "_new").alias("_row"))
+        newest = old.unionByName(fresh).groupBy(*keys).agg(F.max_by("_row", "_new").alias("_row"))
         store.replace(newest.select("_row.*"), touched, batch)
     finally:
         rows.unpersist()

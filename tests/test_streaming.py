@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from lineside import schemas as S
 from lineside.operators import cdc, checks, refine
-from lineside.plans import feeds
-from lineside.session import shared_dir, sized_for
+from lineside.plans import catalog, feeds
+from lineside.session import held, shared_dir, sized_for
 from lineside.streaming import landing, merging, pipeline, rollup
-from lineside.streaming.parts import PartedTable, RunLog
+from lineside.streaming.parts import PartedTable, RunLog, day_part
 
 
 @pytest.fixture
@@ -324,3 +324,57 @@ def test_a_failed_refresh_is_logged_with_its_reason(spark, base, journal, frame,
     pipeline.refresh_batch(plant, events, frame(S.TELEMETRY), 0)
     states = {(r.name, r.state) for r in plant.log.read().collect()}
     assert {("YIELD_BY_LINE_5MIN", "FAILED"), ("YIELD_BY_LINE_5MIN", "SUCCEEDED")} <= states
+
+
+def test_a_persisted_frame_has_only_the_partitions_it_fills(spark, events):
+    """Else each of its nearly empty partitions writes a file for each partition of the next shuffle."""
+    name = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    before = spark.conf.get(name)
+    rows = held(refine.health_parts(feeds.telemetry_of(events)))
+    try:
+        assert rows.count() > 0 and rows.rdd.getNumPartitions() < int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert spark.conf.get(name) == before
+    finally:
+        rows.unpersist()
+
+
+def test_the_batch_persists_few_partitions(spark, base, journal):
+    store = merging.destination(spark, f"{base}/store", parts=2)
+    merged = merging.merge_batch(store, journal(("a", S.INSERT, 1, 1, {}), ("b", S.INSERT, 1, 2, {})), 0)
+    assert merged.newest.rdd.getNumPartitions() == 1
+    merged.release()
+
+
+def test_a_long_history_has_a_bounded_number_of_parts(spark, events, base):
+    """Years of events make no more parts, and so no more files, than a month does."""
+    spread = events.withColumn("ts", F.col("ts") + F.make_dt_interval((F.col("event_id") * 5).cast("int")))
+    spread.write.parquet(f"{base}/events.parquet")
+    years = feeds.events(spark, base)
+    assert years.select(F.col("ts").cast("date")).distinct().count() > 10 * catalog.SPANS
+    plant = catalog._pipeline(spark, base, "long", steps=2)
+    for table in (plant.health, plant.yields, plant.defects):
+        assert 1 < len(table.snapshot()) <= catalog.SPANS + 1
+    live, health = refine.active(model(years, 2, rekey=False)), refine.station_health(feeds.telemetry_of(years))
+    assert as_set(plant.station_health()) == as_set(health)
+    assert as_set(plant.defects.read()) == as_set(refine.defect_counts(live))
+    assert as_set(plant.yields.read()) == as_set(refine.yield_by_line(live, health))
+    days = years.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    middle = days.a + (days.b - days.a) / 2
+    whole, recent = plant.health.read(), plant.between(plant.health, middle, middle + timedelta(days=40))
+    wanted = whole.where(F.col("BUCKET").between(F.lit(middle), F.lit(middle + timedelta(days=40))))
+    assert as_set(recent) == as_set(wanted) and recent.count() > 0
+    assert len(recent.inputFiles()) < len(whole.inputFiles())
+
+
+def test_days_of_a_part_around_1970_and_without_a_time(spark):
+    rows = spark.sql("SELECT CAST(t AS timestamp_ntz) AS BUCKET FROM VALUES "
+                     "('1969-12-31 23:55:00'), ('1970-01-01 00:00:00'), ('1970-01-10 23:55:00'), ('1970-01-11 00:00:00'), (NULL) v(t)")
+    named = rows.select("BUCKET", day_part("BUCKET", days=10)().alias("p")).collect()
+    assert {str(r.BUCKET)[:10]: r.p for r in named} == {
+        "1969-12-31": "1969-12-22", "1970-01-01": "1970-01-01", "1970-01-10": "1970-01-01", "1970-01-11": "1970-01-11",
+        "None": "none"}
+
+
+def test_the_stream_carries_only_what_a_layer_reads(spark, events):
+    both = pipeline.tagged(feeds.journal_of(events), feeds.telemetry_of(events))
+    assert not {"METADATA", "SEEN_AT"} & set(both.select("journal.*").columns)
